@@ -2,7 +2,9 @@
 
 Character classes are spelled out because Java's shorthand classes differ from the wanted ones:
 whitespace includes the separators U+001C to U+001F, digits are any decimal digit, word characters
-are letters, numerals and the underscore but not combining marks.
+are letters, numerals and the underscore but not combining marks. Classes are built from single
+characters below U+0100, which Java looks up in a table, and at most two other parts: a union or a
+negated class of many ranges is matched several times slower.
 
 A regular expression that needs a rare substring to match is guarded by a byte search for it, which
 costs far less on the many rows that hold no link, phone number or bank word.
@@ -11,6 +13,7 @@ costs far less on the many rows that hold no link, phone number or bank word.
 from __future__ import annotations
 
 from functools import reduce
+from string import ascii_letters, digits
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -18,24 +21,28 @@ from msgrisk.constants import (
     BANK_WORDS, FRAUD_PHRASES, MANUAL_FEATURES, MONEY_UNITS, SHORT_HOSTS, STOP_WORDS, URGENT_WORDS,
 )
 
-WHITESPACE = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+WHITESPACE = r"\p{IsWhite_Space}\x1c\x1d\x1e\x1f"
+NON_SPACE = rf"[^{WHITESPACE}]"
 WORD = r"\p{L}\p{N}_"
 
 # The message patterns.
-URL = rf"(?iu)https?://[^{WHITESPACE}]+|www\.[^{WHITESPACE}]+"
+URL = rf"(?iu)https?://{NON_SPACE}+|www\.{NON_SPACE}+"
 SHORT_URL = (
-    "(?iu)(?:" + "|".join(h.replace(".", r"\.") for h in SHORT_HOSTS) + rf")/?[^{WHITESPACE}]*"
+    "(?iu)(?:" + "|".join(h.replace(".", r"\.") for h in SHORT_HOSTS) + rf")/?{NON_SPACE}*"
 )
 PHONE = r"(?:\+?84|0)(?:\p{Nd}[ -]?){8,10}\p{Nd}"
-# The look-behind and possessive runs keep long digit runs linear without changing any match.
+# A digit comes first and the look-behind after it, so that only digits pay for it. The look-behind
+# and the possessive runs keep long digit runs linear without changing any match.
 MONEY = (
-    rf"(?iu)(?<!\p{{Nd}})\p{{Nd}}++(?:[.,]\p{{Nd}}*+)?[{WHITESPACE}]*(?:" + "|".join(MONEY_UNITS) + ")"
+    rf"(?iu)\p{{Nd}}(?<!\p{{Nd}}\p{{Nd}})\p{{Nd}}*+(?:[.,]\p{{Nd}}*+)?[{WHITESPACE}]*(?:" + "|".join(MONEY_UNITS) + ")"
 )
-ACCOUNT = rf"(?<![{WORD}])\p{{Nd}}{{8,20}}(?![{WORD}])"
+ACCOUNT = rf"\p{{Nd}}(?<![{WORD}]\p{{Nd}})\p{{Nd}}{{7,19}}(?![{WORD}])"
 # The range runs from U+00C0 to U+1EF8, so it takes in accented lower-case letters as well.
 CAPITAL = r"A-Z\u00c0-\u1ef8"
-# Kept letters run to U+1EF9, less the one whitespace character in that range.
-KEPT = r"0-9a-zA-Z\u00c0-\u167f\u1681-\u1ef9\[\]"
+# All but digits, Latin and accented letters up to U+1EF9, and brackets. U+1680 is whitespace.
+SEPARATOR = "".join(
+    rf"\x{ord(c):02x}" for c in map(chr, range(0xC0)) if c not in ascii_letters + digits + "[]"
+) + r"\u1680\u1efa-\x{10ffff}"
 
 URL_HINTS = ("://", "www.")
 SHORT_URL_HINTS = (".ly", ".co", ".gl", ".at", ".id", ".ıd")
@@ -59,6 +66,15 @@ def _count_literal(text: Column, part: str) -> Column:
     return (saved / F.lit(len(part.encode()))).cast("int")
 
 
+def _count_phrases(lowered: Column, plain: Column) -> Column:
+    """Occurrences of all phrases, each counted by itself. Plain text needs only the ASCII ones."""
+    def total(phrases):
+        return reduce(lambda a, b: a + b, [_count_literal(lowered, p) for p in phrases])
+
+    phrases = [p.lower() for p in FRAUD_PHRASES]
+    return F.when(plain, total([p for p in phrases if p.isascii()])).otherwise(total(phrases))
+
+
 def _irreducible(words) -> tuple[str, ...]:
     """Words holding no other listed word: the only ones a substring search must try."""
     return tuple(w for w in words if not any(o != w and o in w for o in words))
@@ -76,9 +92,13 @@ def strip_whitespace(text: Column) -> Column:
     return F.regexp_replace(text, f"^[{WHITESPACE}]+|[{WHITESPACE}]+$", "")
 
 
-def words(text: Column) -> Column:
-    """Whitespace-separated words."""
-    return F.filter(F.split(text, f"[{WHITESPACE}]+"), lambda w: w != "")
+def word_count(text: Column) -> Column:
+    """Whitespace-separated words: the pieces between whitespace, less empty ones at the ends."""
+    def blank_end(end):
+        return F.when((text == "") | end.rlike(f"[{WHITESPACE}]"), 1).otherwise(0)
+
+    last = F.when(F.right(text, F.lit(1)).rlike(f"[{WHITESPACE}]"), 1).otherwise(0)
+    return F.size(F.split(text, f"[{WHITESPACE}]+")) - blank_end(F.left(text, F.lit(1))) - last
 
 
 def mask_urls(text: Column) -> Column:
@@ -99,13 +119,24 @@ def mask_money(text: Column) -> Column:
 
 def keep_letters(text: Column) -> Column:
     """Every run of other characters, underscores or whitespace becomes one space."""
-    return F.trim(F.regexp_replace(text, f"[^{KEPT}]+", " "))
+    return F.trim(F.regexp_replace(text, f"[{SEPARATOR}]+", " "))
 
 
-def normalize_text(text: Column) -> Column:
-    """Lower-case, mask links, phones and amounts in that order, keep letters and digits."""
-    lowered = F.lower(safe_text(text))
-    return keep_letters(mask_money(mask_phones(mask_short_urls(mask_urls(lowered)))))
+def normalized(df: DataFrame, text: str = "text", output: str = "normalized") -> DataFrame:
+    """Append the normalised text: lower case, links, phones and amounts masked, letters kept.
+
+    Every step is its own column. A step looks at its input more than once, so nesting the steps in
+    one expression would evaluate the inner ones many times over.
+    """
+    _require(df, text)
+    return (
+        df.withColumn("_step", F.lower(safe_text(F.col(text))))
+        .withColumn("_step", mask_urls(F.col("_step")))
+        .withColumn("_step", mask_short_urls(F.col("_step")))
+        .withColumn("_step", mask_phones(F.col("_step")))
+        .withColumn(output, keep_letters(mask_money(F.col("_step"))))
+        .drop("_step")
+    )
 
 
 def tokenize(normalized: Column) -> Column:
@@ -121,8 +152,14 @@ def capital_ratio(text: Column) -> Column:
     return F.coalesce(capitals / F.nullif(letters, F.lit(0)), F.lit(0.0))
 
 
-def feature_columns(raw: Column, lowered: Column) -> dict[str, Column]:
-    """The manual features by name; raw must be non-null and lowered its lower case."""
+def _whole_capital_ratio(raw: Column, plain: Column) -> Column:
+    """The ratio cut to its integer part. In plain text it is 1 or 0, which one look decides."""
+    shouted = (~raw.rlike("[a-z]") & raw.rlike("[A-Z]")).cast("int")
+    return F.when(plain, shouted).otherwise(capital_ratio(raw).cast("int"))
+
+
+def feature_columns(raw: Column, lowered: Column, plain: Column) -> dict[str, Column]:
+    """The manual features by name, from non-null text, its lower case and whether it is ASCII."""
     values = {
         "has_url": _contains_any(lowered, URL_HINTS) & raw.rlike(URL),
         "has_shorturl": _contains_any(lowered, SHORT_URL_HINTS) & lowered.rlike(SHORT_URL),
@@ -130,13 +167,10 @@ def feature_columns(raw: Column, lowered: Column) -> dict[str, Column]:
         "has_money": lowered.rlike(MONEY),
         "has_bank_account": raw.rlike(ACCOUNT),
         "bank_mention": _contains_any(lowered, _irreducible(BANK_WORDS)),
-        "fraud_keyword_count": reduce(
-            lambda a, b: a + b, [_count_literal(lowered, p.lower()) for p in FRAUD_PHRASES]
-        ),
+        "fraud_keyword_count": _count_phrases(lowered, plain),
         "exclamation_count": _count_literal(raw, "!"),
-        # The ratio is cut to its integer part like the other flags.
-        "capslock_ratio": capital_ratio(raw).cast("int"),
-        "msg_length": F.size(words(raw)),
+        "capslock_ratio": _whole_capital_ratio(raw, plain),
+        "msg_length": word_count(raw),
     }
     return {name: values[name].cast("double") for name in MANUAL_FEATURES}
 
@@ -144,20 +178,22 @@ def feature_columns(raw: Column, lowered: Column) -> dict[str, Column]:
 def message_features(df: DataFrame, text: str = "text") -> DataFrame:
     """Append the ten manual features."""
     _require(df, text)
-    staged = df.withColumn("_raw", safe_text(F.col(text))).withColumn("_lowered", F.lower("_raw"))
-    features = feature_columns(F.col("_raw"), F.col("_lowered"))
-    return staged.withColumns(features).drop("_raw", "_lowered")
+    staged = df.withColumn("_raw", safe_text(F.col(text))).withColumns(
+        {"_lowered": F.lower("_raw"), "_plain": F.octet_length("_raw") == F.length("_raw")}
+    )
+    features = feature_columns(F.col("_raw"), F.col("_lowered"), F.col("_plain"))
+    return staged.withColumns(features).drop("_raw", "_lowered", "_plain")
 
 
 def preprocess(df: DataFrame, text: str = "text") -> DataFrame:
     """Append clean_text, token_count and the ten manual features, row by row."""
     _require(df, text)
     return (
-        message_features(df, text)
-        .withColumn("_tokens", tokenize(normalize_text(F.col(text))))
+        normalized(message_features(df, text), text, "_normalized")
+        .withColumn("_tokens", tokenize(F.col("_normalized")))
         .withColumn("clean_text", F.array_join("_tokens", " "))
         .withColumn("token_count", F.size("_tokens"))
-        .drop("_tokens")
+        .drop("_tokens", "_normalized")
     )
 
 

@@ -99,11 +99,12 @@ def assign_clusters(df: DataFrame, centres: DataFrame, vector: str = "features")
     centres is (cluster_id, centre) with k rows, read as one scalar, so rows stay where they are.
     """
     every = centres.agg(F.collect_list(F.struct("cluster_id", "centre"))).scalar()
-    x = _array(df, vector)
     options = F.transform(
-        every, lambda c: F.struct(squared_distance(x, c["centre"]).alias("d"), c["cluster_id"].alias("id"))
+        "_every",
+        lambda c: F.struct(squared_distance(F.col("_x"), c["centre"]).alias("d"), c["cluster_id"].alias("id")),
     )
-    return df.withColumn("cluster_id", F.array_min(options)["id"])
+    staged = df.withColumns({"_every": every, "_x": _array(df, vector)})
+    return staged.withColumn("cluster_id", F.array_min(options)["id"]).drop("_every", "_x")
 
 
 # --- quality -----------------------------------------------------------------------------------
@@ -139,14 +140,14 @@ def davies_bouldin(spread: DataFrame, cluster: str = "cluster_id") -> DataFrame:
         F.col(cluster).alias("id"), F.col("centroid").alias("c"), F.col("spread").alias("s")
     ))).scalar()
     worst = F.array_max(F.transform(
-        F.filter(every, lambda o: o["id"] != F.col(cluster)),
+        F.filter("_every", lambda o: o["id"] != F.col(cluster)),
         lambda o: F.coalesce(
             (F.col("spread") + o["s"])
             / F.nullif(F.sqrt(squared_distance(F.col("centroid"), o["c"])), F.lit(0.0)),
             F.lit(0.0),
         ),
     ))
-    return spread.select(worst.alias("worst")).agg(F.avg("worst").alias("value"))
+    return spread.withColumn("_every", every).select(worst.alias("worst")).agg(F.avg("worst").alias("value"))
 
 
 def calinski_harabasz(spread: DataFrame) -> DataFrame:
@@ -156,7 +157,8 @@ def calinski_harabasz(spread: DataFrame) -> DataFrame:
     rows = spread.agg(F.collect_list(weighted), F.sum("n"), F.count("*"), F.sum("within")).toDF("w", "n", "k", "within")
     total = F.aggregate(F.slice("w", 2, F.greatest(F.size("w") - 1, F.lit(0))), F.get("w", F.lit(0)), add)
     mean = rows.select(F.transform(total, lambda v: v / F.col("n"))).scalar()
-    between = spread.agg(F.sum(F.col("n") * squared_distance(F.col("centroid"), mean))).scalar()
+    apart = squared_distance(F.col("centroid"), F.col("_mean"))
+    between = spread.withColumn("_mean", mean).agg(F.sum(F.col("n") * apart)).scalar()
     value = between * (F.col("n") - F.col("k")) / (F.nullif(F.col("within"), F.lit(0.0)) * (F.col("k") - 1))
     return rows.select(F.coalesce(value, F.lit(1.0)).alias("value"))
 

@@ -112,10 +112,10 @@ RELATIONS = {
                    "FROM grams g JOIN vocab v ON g.term = v.term GROUP BY ALL",
     "weights": "SELECT msg_id, term, w / sqrt(sum(w * w) OVER (PARTITION BY msg_id)) AS weight FROM raw_weights",
     "bounds": "SELECT " + ", ".join(f"min({n}) AS low_{n}, max({n}) AS high_{n}" for n in MANUAL_FEATURES) + " FROM prepared",
-    "transactions": "SELECT msg_id, list_sort(list_distinct([t for t in toks if list_contains((SELECT list(term) FROM vocab), t)] || "
-                    + " || ".join(f"CASE WHEN {c} <> 0 THEN ['{c}'] ELSE [] END" for c in FLAG_ITEMS)
-                    + ")) AS items FROM prepared WHERE y = 1",
-    "held": "SELECT msg_id, unnest(items) AS item FROM transactions",
+    "held": "SELECT d.msg_id, d.item FROM (SELECT DISTINCT msg_id, unnest(toks) AS item FROM prepared WHERE y = 1) d SEMI JOIN vocab ON d.item = vocab.term"
+            + "".join(f" UNION ALL SELECT msg_id, '{c}' FROM prepared WHERE y = 1 AND {c} <> 0" for c in FLAG_ITEMS),
+    "transactions": "SELECT p.msg_id, list_sort(list(h.item) FILTER (h.item IS NOT NULL)) AS items FROM prepared p LEFT JOIN held h ON p.msg_id = h.msg_id "
+                    "WHERE p.y = 1 GROUP BY p.msg_id",
     "least": "SELECT ceil(0.15::DOUBLE * count(*)) AS c, count(*) AS n FROM transactions",
     "one": "SELECT item AS a, count(*) AS n FROM held GROUP BY item HAVING count(*) >= (SELECT c FROM least)",
     "kept": "SELECT h.msg_id, h.item FROM held h SEMI JOIN one ON h.item = one.a",
@@ -157,7 +157,7 @@ RELATIONS = {
                "(SELECT x, unnest(range(1, len(x) + 1)) AS i FROM emb) GROUP BY i)",
     "assigned": "SELECT e.vec_id, e.x, arg_min(c.label, (list_distance(e.x, c.c), c.label)) AS cluster_id FROM emb e, centres c GROUP BY ALL",
     "pair_sums": "SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x)) AS s, "
-                 "count(*) - CASE WHEN a.label = b.label THEN 1 ELSE 0 END AS n FROM emb a, emb b GROUP BY ALL",
+                 "count(*) - max((a.label = b.label)::INTEGER) AS n FROM emb a, emb b GROUP BY a.vec_id, a.label, b.label",
     "silhouette": "SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS value FROM ("
                   "SELECT vec_id, max(CASE WHEN own = other THEN s / nullif(n, 0) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b "
                   "FROM pair_sums GROUP BY vec_id)",
@@ -280,7 +280,7 @@ BODIES = {
                        "round(sqrt(coalesce(t.q, 0) + list_sum([v * v for v in s.vs])), 6) AS l2norm FROM "
                        f"(SELECT msg_id, [{FEATURES_SQL}] AS vs FROM (SELECT p.msg_id, {SCALED_ALL} FROM prepared p, bounds)) s LEFT JOIN "
                        "(SELECT msg_id, count(*) AS k, sum(weight ** 2) AS q FROM weights GROUP BY msg_id) t ON s.msg_id = t.msg_id",
-    "transactions": "SELECT msg_id, len(items)::INTEGER AS n, array_to_string(items, ' ') AS items FROM transactions",
+    "transactions": "SELECT msg_id, coalesce(len(items), 0)::INTEGER AS n, coalesce(array_to_string(items, ' '), '') AS items FROM transactions",
     "frequent_itemsets": "SELECT array_to_string(items, '|') AS items, round(i.n / least.n, 6) AS support FROM itemsets i, least",
     "association_rules": "SELECT array_to_string(ante, '|') AS antecedents, array_to_string(cons, '|') AS consequents, round(support, 6) AS support, "
                          "round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM rules",

@@ -8,7 +8,7 @@ from msgrisk.constants import FLAG_ITEMS, MANUAL_FEATURES, TOP_KEYWORDS
 from msgrisk.functions import scoring
 from msgrisk.functions.labels import coerce_label
 from msgrisk.functions.text import (
-    capital_ratio, message_features, normalize_text, preprocess, safe_text, tokenize,
+    capital_ratio, message_features, normalized, preprocess, safe_text, tokenize,
 )
 from msgrisk.operators import clustering as cl, dedupe, imbalance, metrics, projection, rules as ru, sampling
 from msgrisk.operators import vectorize as ve
@@ -116,13 +116,13 @@ def coerce_labels(spark, sf_dir):
     )
 
 
-def normalized(spark, sf_dir):
-    return inputs.all_messages(spark, sf_dir).select("msg_id", normalize_text(F.col("text")).alias("normalized"))
+def normalize_text(spark, sf_dir):
+    return normalized(inputs.all_messages(spark, sf_dir)).select("msg_id", "normalized")
 
 
 def tokens(spark, sf_dir):
     return (
-        normalized(spark, sf_dir).withColumn("t", tokenize(F.col("normalized")))
+        normalize_text(spark, sf_dir).withColumn("t", tokenize(F.col("normalized")))
         .select("msg_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens_md5"))
     )
 
@@ -505,7 +505,7 @@ QUERIES = {
     "dataset_summary": dataset_summary,
     "label_counts": label_counts,
     "coerce_labels": coerce_labels,
-    "normalize_text": normalized,
+    "normalize_text": normalize_text,
     "tokens": tokens,
     "preprocess": preprocessed,
     "message_features": features,
