@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -16,6 +18,10 @@ from msgrisk.operators.pairwise import silhouettes
 from msgrisk.operators.sampling import capped_sample, cluster_examples
 
 
+# Restarts of a fit that run side by side.
+CONCURRENT_FITS = 5
+
+
 def squared_distance(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
 
@@ -49,11 +55,16 @@ def effective_k(wanted: int, n_rows: int) -> int:
 def fit_kmeans(
     df: DataFrame, k: int, features: str = "features", restarts: int = N_RESTARTS, seed: int = SEED
 ) -> KMeansModel:
-    """The model of lowest cost over restarts with different seeds. Persist df before the call."""
-    models = (
-        KMeans(k=k, featuresCol=features, predictionCol="cluster_id", seed=seed + i).fit(df)
-        for i in range(restarts)
-    )
+    """The model of lowest cost over restarts with different seeds. Persist df before the call.
+
+    A few restarts run at once, so that the short jobs of one fill the gaps of another.
+    """
+    def one(i):
+        return KMeans(k=k, featuresCol=features, predictionCol="cluster_id", seed=seed + i).fit(df)
+
+    run = inheritable_thread_target(df.sparkSession)(one)
+    with ThreadPool(min(restarts, CONCURRENT_FITS)) as pool:
+        models = pool.map(run, range(restarts))
     return min(models, key=lambda m: m.summary.trainingCost)
 
 

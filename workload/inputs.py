@@ -12,6 +12,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on an input of fewer splits, such as one small file. Larger inputs stay as read."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def sms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns; the role decides the label."""
     return table(spark, sf_dir, "conversations").select(
@@ -54,12 +60,12 @@ def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(3_000_000_000) + F.col("o_orderkey")).alias("msg_id"), order_notice().alias("text")
     )
     turns = sms_table(spark, sf_dir).select((F.lit(1_000_000_000) + F.col("msg_id")).alias("msg_id"), "text")
-    return email_table(spark, sf_dir).select("msg_id", "text").unionByName(turns).unionByName(pages).unionByName(orders)
+    return spread(email_table(spark, sf_dir).select("msg_id", "text")).unionByName(turns).unionByName(pages).unionByName(orders)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Labelled documents: msg_id, text, label, y and the language as a given grouping."""
-    documents = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("msg_id"), "text", "lang")
+    documents = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("msg_id"), "text", "lang"))
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("msg_id"),
         F.when(F.col("toxic") == 1, "spam").otherwise("ham").alias("label"),

@@ -326,4 +326,6 @@ BODIES = {
     "score_messages": f"SELECT msg_id, md5(text) AS text_md5, fraud_probability, cluster_id, round(score, 6) AS risk_score, {BAND.format('score')} AS severity FROM scored",
     "alerts": f"SELECT msg_id, round(score, 6) AS risk_score, {BAND.format('score')} AS severity, 'Cluster ' || cluster_id || CASE WHEN rule_hits > 0 "
               "THEN '|Matched ' || rule_hits || ' suspicious association rules' ELSE '' END AS reasons FROM scored",
+    "stream_dedupe": "SELECT DISTINCT md5(text) AS text_md5 FROM documents",
 }
+BODIES["stream_score"] = BODIES["score_messages"]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from msgrisk.constants import FLAG_ITEMS, MANUAL_FEATURES, TOP_KEYWORDS
@@ -13,11 +14,14 @@ from msgrisk.functions.text import (
 from msgrisk.operators import clustering as cl, dedupe, imbalance, metrics, projection, rules as ru, sampling
 from msgrisk.operators import vectorize as ve
 from msgrisk.operators.pairwise import nearest_neighbours
+from msgrisk.operators.forest import feature_importance as importance_table, fit_forest, with_forest_scores
+from msgrisk.plans import report as reporting, training
 from msgrisk.plans.scoring import OUTPUT, score_messages
 from msgrisk.session import materialised, scratch_path
 from msgrisk.sources import sinks
 from msgrisk.sources.csv import read_csv
 from msgrisk.sources.messages import load_email, load_sms
+from msgrisk.streaming import messages as streaming
 from workload import inputs
 
 DIGITS = 6
@@ -462,8 +466,6 @@ def alerts(spark, sf_dir):
 # --- fitted models -----------------------------------------------------------------------------
 
 def _model_vectors(spark, sf_dir) -> DataFrame:
-    from pyspark.ml.functions import array_to_vector
-
     rows = inputs.vectors(spark, sf_dir).select("vec_id", "label", array_to_vector("x").alias("features"))
     return materialised(rows, "model-vectors")
 
@@ -495,6 +497,87 @@ def svd_project(spark, sf_dir):
     coordinates, values = projection.svd_coordinates(inputs.vectors(spark, sf_dir), "vec_id", "x", 10)
     return coordinates.select("vec_id", F.posexplode("coords").alias("component", "value"))
 
+# Trees of the registered fits; the library defaults are 300 trees of unlimited depth.
+FOREST = dict(num_trees=20, max_depth=12)
+
+
+def _forest(spark, sf_dir):
+    """A forest fitted on the training fold and the vectors of the test fold."""
+    rows = sampling.stratified_split(materialised(_prepared(spark, sf_dir).drop("text"), "prepared"))
+    rows = materialised(rows, "split")
+    model = ve.FeatureModel.fit(rows.filter("fold = 'train'"))
+    forest = fit_forest(model.transform(rows.filter("fold = 'train'")), **FOREST)
+    return model, forest, model.transform(rows.filter("fold = 'test'"))
+
+
+def rf_scores(spark, sf_dir):
+    _, forest, test = _forest(spark, sf_dir)
+    return with_forest_scores(forest, test).select("msg_id", "y", "fraud_probability", "pred")
+
+
+def feature_importance(spark, sf_dir):
+    model, forest, _ = _forest(spark, sf_dir)
+    return importance_table(forest, model.names, spark)
+
+
+def _fit(spark, sf_dir):
+    return training.fit(inputs.labelled(spark, sf_dir).drop("y"), restarts=3, **FOREST)
+
+
+def fit_summary(spark, sf_dir):
+    return training.summary_table(_fit(spark, sf_dir)[1])
+
+
+def predict_messages(spark, sf_dir):
+    """A model of the labelled rows applied to every message."""
+    model, _ = _fit(spark, sf_dir)
+    return model.predict(inputs.all_messages(spark, sf_dir)).withColumn("text", F.md5("text"))
+
+
+def run_report(spark, sf_dir):
+    """Both sources merged, de-duplicated, fitted and reported."""
+    merged = _merged(spark, sf_dir)
+    deduped = materialised(
+        dedupe.dedupe_messages(merged).withColumn("msg_id", F.col("msg_id") * 2 + F.col("source_rank")), "deduped"
+    )
+    model, summary = training.fit(deduped, restarts=3, **FOREST)
+    views = reporting.cluster_views(model, deduped)
+    report = reporting.run_report(merged, deduped, summary, views.report)
+    reporting.export(views, report, scratch_path(spark, "report"))
+    return report.select(*[F.to_json(F.struct(c)).alias(c) for c in report.columns])
+
+
+# --- streams -----------------------------------------------------------------------------------
+
+def _run(stream: DataFrame) -> DataFrame:
+    """Run a stream over what has arrived and read its sink."""
+    spark, path = stream.sparkSession, scratch_path(stream.sparkSession, "stream")
+    streaming.write_available(stream, f"{path}/rows", f"{path}/progress").awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
+
+
+def _document_stream(spark, sf_dir) -> DataFrame:
+    schema = inputs.table(spark, sf_dir, "documents").schema
+    return streaming.read_messages(spark, f"{sf_dir}/documents*.parquet", schema)
+
+
+def stream_score(spark, sf_dir):
+    """Arriving documents scored with fixed clusters and mined rules."""
+    labels = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("msg_id"))
+    documents = _document_stream(spark, sf_dir).select(F.col("doc_id").alias("msg_id"), "text", "lang")
+    rows = inputs.with_probability(inputs.with_cluster(preprocess(documents.join(labels, "msg_id"))))
+    risks = cl.cluster_risk(inputs.with_cluster(inputs.labelled(spark, sf_dir)))
+    stream = score_messages(rows, risks, materialised(_rules(spark, sf_dir), "rules"))
+    return _run(stream.select(
+        "msg_id", F.md5("text").alias("text_md5"), *OUTPUT[1:3], rounded("risk_score"), "severity"
+    ))
+
+
+def stream_dedupe(spark, sf_dir):
+    """Each text once, whichever copy arrived first."""
+    arrived = _document_stream(spark, sf_dir).withColumn("arrived", F.timestamp_seconds(F.col("doc_id") % 86_400))
+    return _run(streaming.dedupe_stream(arrived, "arrived", "2 days").select(F.md5("text").alias("text_md5")))
+
 
 QUERIES = {
     "csv_scan": csv_scan,
@@ -559,4 +642,11 @@ QUERIES = {
     "silhouette_fast": silhouette_fast,
     "pca_2d": pca_2d,
     "svd_project": svd_project,
+    "rf_scores": rf_scores,
+    "feature_importance": feature_importance,
+    "fit_summary": fit_summary,
+    "predict_messages": predict_messages,
+    "run_report": run_report,
+    "stream_score": stream_score,
+    "stream_dedupe": stream_dedupe,
 }
