@@ -14,16 +14,13 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from msgrisk.constants import CLUSTER_NAME, METRIC_SAMPLE, N_RESTARTS, SEED, TOP_KEYWORDS
+from msgrisk.functions.arrays import bound, squared_distance
 from msgrisk.operators.pairwise import silhouettes
 from msgrisk.operators.sampling import capped_sample, cluster_examples
 
 
-# Restarts of a fit that run side by side.
-CONCURRENT_FITS = 5
-
-
-def squared_distance(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v)
+# Fits that run side by side.
+CONCURRENT_FITS = 8
 
 
 def _array(df: DataFrame, vector: str) -> Column:
@@ -52,20 +49,34 @@ def effective_k(wanted: int, n_rows: int) -> int:
 
 # --- fitting -----------------------------------------------------------------------------------
 
-def fit_kmeans(
-    df: DataFrame, k: int, features: str = "features", restarts: int = N_RESTARTS, seed: int = SEED
-) -> KMeansModel:
-    """The model of lowest cost over restarts with different seeds. Persist df before the call.
+def fit_kmeans_many(
+    df: DataFrame, k_values: Sequence[int], features: str = "features", restarts: int = N_RESTARTS, seed: int = SEED
+) -> dict[int, KMeansModel]:
+    """For each k the model of lowest cost over restarts with different seeds. Persist df before.
 
-    A few restarts run at once, so that the short jobs of one fill the gaps of another.
+    Fits run side by side, so that the short jobs of one fill the gaps of another.
     """
-    def one(i):
-        return KMeans(k=k, featuresCol=features, predictionCol="cluster_id", seed=seed + i).fit(df)
-
+    def one(task):
+        k, restart = task
+        model = KMeans(k=k, featuresCol=features, predictionCol="cluster_id", seed=seed + restart).fit(df)
+        return model.summary.trainingCost, restart, model
+
+    tasks = [(k, i) for k in k_values for i in range(restarts)]
+    if not tasks:
+        return {}
     run = inheritable_thread_target(df.sparkSession)(one)
-    with ThreadPool(min(restarts, CONCURRENT_FITS)) as pool:
-        models = pool.map(run, range(restarts))
-    return min(models, key=lambda m: m.summary.trainingCost)
+    with ThreadPool(min(len(tasks), CONCURRENT_FITS)) as pool:
+        fits = pool.map(run, tasks, chunksize=1)
+    found = {}
+    for (k, _), fit in zip(tasks, fits):
+        found.setdefault(k, []).append(fit)
+    return {k: min(options, key=lambda f: f[:2])[2] for k, options in found.items()}
+
+
+def fit_kmeans(
+    df: DataFrame, k: int, features: str = "features", restarts: int = N_RESTARTS, seed: int = SEED
+) -> KMeansModel:
+    return fit_kmeans_many(df, [k], features, restarts, seed)[k]
 
 
 def centre_table(model: KMeansModel, spark) -> DataFrame:
@@ -76,30 +87,22 @@ def centre_table(model: KMeansModel, spark) -> DataFrame:
     )
 
 
+def sweep_values(k_values: Sequence[int], n_rows: int) -> list[int]:
+    """The k that have more rows than clusters."""
+    return [k for k in k_values if n_rows > k]
+
+
 def k_sweep(
-    df: DataFrame,
-    n_rows: int,
-    k_values: Sequence[int],
-    key: str = "msg_id",
-    features: str = "features",
-    restarts: int = N_RESTARTS,
-    seed: int = SEED,
+    df: DataFrame, models: dict[int, KMeansModel], key: str = "msg_id", features: str = "features"
 ) -> DataFrame:
-    """(k, inertia, silhouette) for each k below the row count. Persist df before the call.
-
-    The silhouettes of all k come from one pass over the distances.
-    """
-    spark = df.sparkSession
-    assigned, costs = df.select(key, features), []
-    for k in k_values:
-        if n_rows <= k:
-            continue
-        model = fit_kmeans(df, k, features, restarts, seed)
-        costs.append((k, f"k{k}", float(model.summary.trainingCost)))
-        assigned = model.transform(assigned).withColumnRenamed("cluster_id", f"k{k}")
-    table = spark.createDataFrame(costs, "k int, clustering string, inertia double")
+    """(k, inertia, silhouette) of fitted models. The silhouettes of all k share one pass over the distances."""
+    costs = [(k, f"k{k}", float(m.summary.trainingCost)) for k, m in sorted(models.items())]
+    table = df.sparkSession.createDataFrame(costs, "k int, clustering string, inertia double")
     if not costs:
         return table.select("k", "inertia", F.lit(None).cast("double").alias("silhouette"))
+    assigned = df.select(key, features)
+    for k, name, _ in costs:
+        assigned = models[k].transform(assigned).withColumnRenamed("cluster_id", name)
     scores = silhouettes(assigned, key, features, [name for _, name, _ in costs])
     return table.join(scores, "clustering").select("k", "inertia", "silhouette")
 
@@ -110,12 +113,13 @@ def assign_clusters(df: DataFrame, centres: DataFrame, vector: str = "features")
     centres is (cluster_id, centre) with k rows, read as one scalar, so rows stay where they are.
     """
     every = centres.agg(F.collect_list(F.struct("cluster_id", "centre"))).scalar()
-    options = F.transform(
-        "_every",
-        lambda c: F.struct(squared_distance(F.col("_x"), c["centre"]).alias("d"), c["cluster_id"].alias("id")),
-    )
-    staged = df.withColumns({"_every": every, "_x": _array(df, vector)})
-    return staged.withColumn("cluster_id", F.array_min(options)["id"]).drop("_every", "_x")
+    def options(x):
+        return F.transform(
+            "_every", lambda c: F.struct(squared_distance(x, c["centre"]).alias("d"), c["cluster_id"].alias("id"))
+        )
+
+    nearest = bound(_array(df, vector), lambda x: F.array_min(options(x))["id"])
+    return df.withColumn("_every", every).withColumn("cluster_id", nearest).drop("_every")
 
 
 # --- quality -----------------------------------------------------------------------------------

@@ -20,6 +20,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 BLOCK_ROWS = 2048
 # Distances are compared to this many digits, so that ties between copies go by id.
 DIGITS = 9
+# Share of the squared norms below which a squared distance is computed by differences.
+NEAR = 1e-4
+# Numbers held at once for that (32 MB).
+NEAR_ENTRIES = 4 * 1024 * 1024
 
 
 def _packed(df: DataFrame, vector: str) -> DataFrame:
@@ -38,7 +42,8 @@ def _width(df: DataFrame, vector: str) -> int:
         size = F.coalesce(inner["size"], F.size(inner["values"]))
     else:
         size = F.size(vector)
-    return df.agg(F.max(size)).first()[0] or 0
+    row = df.select(size).first()
+    return row[0] if row else 0
 
 
 def _matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
@@ -49,10 +54,23 @@ def _matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    squared = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+    """Distances from one matrix product. Near pairs, where that loses digits, are taken directly."""
+    scale = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
+    squared = scale - 2.0 * (a @ b.T)
+    rows, columns = np.nonzero(squared < NEAR * scale)
+    step = max(1, NEAR_ENTRIES // max(a.shape[1], 1))
+    for start in range(0, len(rows), step):
+        i, j = rows[start:start + step], columns[start:start + step]
+        squared[i, j] = ((a[i] - b[j]) ** 2).sum(1)
     return np.sqrt(np.maximum(squared, 0.0, out=squared), out=squared)
 
 
+def _block_count(n_rows: int, block_rows: int, cores: int) -> int:
+    """Enough blocks to keep each below about block_rows, and to use all cores on small inputs."""
+    spread = min(math.ceil(math.sqrt(2 * cores)), math.ceil(n_rows / 64))
+    return max(math.ceil(n_rows / block_rows), spread, 1)
+
+
 def per_block_pair(
     df: DataFrame,
     key: str,
@@ -60,25 +78,33 @@ def per_block_pair(
     carried: Sequence[str],
     combine: Callable[[np.ndarray, pd.DataFrame, pd.DataFrame, bool], pd.DataFrame],
     schema: str,
-    n_rows: int,
+    sizes: dict[int | None, int],
+    group: str | None = None,
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Run combine(distances, rows, others, same_block) for every ordered pair of blocks.
 
-    Blocks are small enough to use all cores on small inputs and never exceed about block_rows.
+    With a group column only blocks of the same group meet. sizes has the rows of each group (of
+    None without one); there is an entry per class, so it is small.
     """
     width = _width(df, vector)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    blocks = max(math.ceil(n_rows / block_rows), min(math.ceil(math.sqrt(2 * cores)), math.ceil(n_rows / 64)), 1)
-    placed = _packed(df.select(key, vector, *carried), vector).withColumn(
-        "_block", F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    blocks = {g: _block_count(n, block_rows, cores) for g, n in sizes.items()}
+    if group is None:
+        placed, n_blocks = df.withColumn("_group", F.lit(0)), F.lit(blocks[None])
+    else:
+        known = F.create_map(*[F.lit(v) for pair in blocks.items() for v in pair])
+        placed, n_blocks = df.withColumn("_group", F.col(group)), F.element_at(known, F.col(group))
+    placed = placed.withColumn("_blocks", n_blocks)
+    placed = _packed(placed.select(key, vector, "_group", "_blocks", *carried), vector).withColumn(
+        "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
     )
-    copies = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns(
+    copies = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumns(
         {"_low": F.least("_block", "_other"), "_high": F.greatest("_block", "_other")}
-    )
+    ).drop("_other", "_blocks")
 
     def both(pair: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        low, high = pair
+        _, low, high = pair
         first = rows[rows["_block"] == low]
         a = _matrix(first, width)
         if low == high:
@@ -91,26 +117,34 @@ def per_block_pair(
             combine(distances, first, second, False), combine(distances.T, second, first, False)
         ])
 
-    return copies.drop("_other").groupBy("_low", "_high").applyInPandas(both, schema)
+    return copies.groupBy("_group", "_low", "_high").applyInPandas(both, schema)
 
 
 def nearest_neighbours(
-    df: DataFrame, key: str, vector: str, k: int, n_rows: int | None = None, block_rows: int = BLOCK_ROWS
+    df: DataFrame,
+    key: str,
+    vector: str,
+    k: int,
+    sizes: dict[int | None, int] | None = None,
+    group: str | None = None,
+    block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """(key, nn_id, nn_rank, distance): the k nearest other rows; equal distances go by id.
+    """(key, nn_id, nn_rank, distance): the k nearest other rows of the same group, all rows without one.
 
-    Each block pair sends at most k candidates per row.
+    Equal distances go by id. Each block pair sends at most k candidates per row.
     """
-    n_rows = df.count() if n_rows is None else n_rows
-    if n_rows <= k:
-        raise ValueError(f"{k} neighbours need more than {k} rows, found {n_rows}")
+    if sizes is None:
+        sizes = {None: df.count()} if group is None else dict(df.groupBy(group).count().collect())
+    for g, n in sizes.items():
+        if n <= k:
+            raise ValueError(f"{k} neighbours need more than {k} rows, found {n}" + (f" of {group} {g}" if group else ""))
 
     def nearest(distances, rows, others, same):
-        distances = np.round(distances, DIGITS)
         ids = others[key].to_numpy()
         if same:
             np.fill_diagonal(distances, np.inf)
-        order = np.lexsort((np.broadcast_to(ids, distances.shape), distances), axis=1)[:, :k]
+        ties = np.broadcast_to(ids, distances.shape)
+        order = np.lexsort((ties, np.round(distances, DIGITS)), axis=1)[:, :k]
         at = np.repeat(np.arange(len(rows)), order.shape[1])
         out = pd.DataFrame({
             key: rows[key].to_numpy()[at], "nn_id": ids[order.ravel()], "distance": distances[at, order.ravel()],
@@ -119,9 +153,9 @@ def nearest_neighbours(
 
     kind = df.schema[key].dataType.simpleString()
     found = per_block_pair(
-        df, key, vector, [], nearest, f"{key} {kind}, nn_id {kind}, distance double", n_rows, block_rows
+        df, key, vector, [], nearest, f"{key} {kind}, nn_id {kind}, distance double", sizes, group, block_rows
     )
-    order = Window.partitionBy(key).orderBy("distance", "nn_id")
+    order = Window.partitionBy(key).orderBy(F.round("distance", DIGITS), "nn_id")
     return (
         found.withColumn("nn_rank", F.row_number().over(order))
         .filter(F.col("nn_rank") <= k)
@@ -163,7 +197,8 @@ def silhouettes(
     kind = df.schema[key].dataType.simpleString()
     typed = df.select(key, vector, *[F.col(c).cast("int").alias(c) for c in clusterings])
     partial = per_block_pair(
-        typed, key, vector, clusterings, sums, f"{key} {kind}, slot int, own boolean, total double", n_rows, block_rows
+        typed, key, vector, clusterings, sums, f"{key} {kind}, slot int, own boolean, total double",
+        {None: n_rows}, None, block_rows,
     )
     spark = df.sparkSession
     slot_table = spark.createDataFrame(

@@ -126,10 +126,11 @@ def fit(
     n_rows = source.count()
     k = clustering.effective_k(n_clusters, n_rows)
     rows = source.select(key, "features").persist()
-    diagnostics = materialised(
-        clustering.k_sweep(rows, n_rows, range(2, max(3, k + 1)), key, "features", restarts, seed), "diagnostics"
-    )
-    kmeans = clustering.fit_kmeans(rows, k, "features", restarts, seed) if n_rows > 1 else None
+    # The sweep is reported only; its model for the wanted k is the one kept.
+    swept = clustering.sweep_values(range(2, max(3, k + 1)), n_rows)
+    models = clustering.fit_kmeans_many(rows, swept, "features", restarts, seed)
+    diagnostics = materialised(clustering.k_sweep(rows, models, key), "diagnostics")
+    kmeans = models.get(k)
     rows.unpersist()
     rated = vectors if risk_from_all_rows else source
     placed = kmeans.transform(rated) if kmeans else rated.withColumn("cluster_id", F.lit(0))

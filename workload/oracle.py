@@ -161,6 +161,8 @@ RELATIONS = {
     "silhouette": "SELECT avg(CASE WHEN a IS NULL THEN 0 ELSE coalesce((b - a) / nullif(greatest(a, b), 0), 0) END) AS value FROM ("
                   "SELECT vec_id, max(CASE WHEN own = other THEN s / nullif(n, 0) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b "
                   "FROM pair_sums GROUP BY vec_id)",
+    "pair_squares": "SELECT a.vec_id, a.label AS own, b.label AS other, sum(list_distance(a.x, b.x) ** 2) AS s, "
+                    "count(*) - max((a.label = b.label)::INTEGER) AS n FROM emb a, emb b GROUP BY a.vec_id, a.label, b.label",
     "spreads": "SELECT e.label, avg(list_distance(e.x, c.c)) AS s, sum(list_distance(e.x, c.c) ** 2) AS w, any_value(c.n) AS n, any_value(c.c) AS c "
                "FROM emb e JOIN centres c ON e.label = c.label GROUP BY e.label",
     "db": "SELECT avg(worst) AS value FROM (SELECT a.label, max(coalesce((a.s + b.s) / nullif(list_distance(a.c, b.c), 0), 0)) AS worst "
@@ -328,4 +330,9 @@ BODIES = {
               "THEN '|Matched ' || rule_hits || ' suspicious association rules' ELSE '' END AS reasons FROM scored",
     "stream_dedupe": "SELECT DISTINCT md5(text) AS text_md5 FROM documents",
 }
+BODIES["silhouette_fast"] = (
+    "SELECT round(avg(CASE WHEN a IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END), 6) AS value FROM ("
+    "SELECT vec_id, max(CASE WHEN own = other THEN s / nullif(n, 0) END) AS a, min(CASE WHEN own <> other THEN s / n END) AS b "
+    "FROM pair_squares GROUP BY vec_id)"
+)
 BODIES["stream_score"] = BODIES["score_messages"]

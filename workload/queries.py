@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from msgrisk.constants import FLAG_ITEMS, MANUAL_FEATURES, TOP_KEYWORDS
 from msgrisk.functions import scoring
+from msgrisk.functions.arrays import squared_distance
 from msgrisk.functions.labels import coerce_label
 from msgrisk.functions.text import (
     capital_ratio, message_features, normalized, preprocess, safe_text, tokenize,
@@ -472,21 +473,22 @@ def _model_vectors(spark, sf_dir) -> DataFrame:
 
 def kmeans_fit(spark, sf_dir):
     """Centres of the best of ten fits, with their sizes."""
-    rows = _model_vectors(spark, sf_dir)
+    rows = _model_vectors(spark, sf_dir).persist()
     model = cl.fit_kmeans(rows, 5)
     sizes = cl.cluster_sizes(model.transform(rows))
     return cl.centre_table(model, spark).join(sizes, "cluster_id").select(
-        "cluster_id", "n", F.round(F.sqrt(cl.squared_distance(F.col("centre"), F.transform("centre", lambda v: F.lit(0.0)))), DIGITS).alias("centre_norm")
+        "cluster_id", "n", F.round(F.sqrt(squared_distance(F.col("centre"), F.transform("centre", lambda v: F.lit(0.0)))), DIGITS).alias("centre_norm")
     )
 
 
 def k_sweep(spark, sf_dir):
-    rows = _model_vectors(spark, sf_dir)
-    return cl.k_sweep(rows, rows.count(), range(2, 6), key="vec_id")
+    rows = _model_vectors(spark, sf_dir).persist()
+    models = cl.fit_kmeans_many(rows, cl.sweep_values(range(2, 6), rows.count()))
+    return cl.k_sweep(rows, models, key="vec_id").select("k", rounded("inertia"), rounded("silhouette"))
 
 
 def silhouette_fast(spark, sf_dir):
-    return cl.silhouette_fast(inputs.vectors(spark, sf_dir), "label", "x")
+    return cl.silhouette_fast(inputs.vectors(spark, sf_dir), "label", "x").select(rounded("value"))
 
 
 def pca_2d(spark, sf_dir):
