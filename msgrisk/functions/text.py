@@ -60,19 +60,23 @@ def _mask(text: Column, hints, pattern: str, mask: str) -> Column:
     return F.when(_contains_any(text, hints), replaced).otherwise(text) if hints else replaced
 
 
-def _count_literal(text: Column, part: str) -> Column:
+def _count_literal(text: Column, part: Column) -> Column:
     """Non-overlapping occurrences, by the bytes that removing them saves."""
-    saved = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(part), F.lit("")))
-    return (saved / F.lit(len(part.encode()))).cast("int")
+    saved = F.octet_length(text) - F.octet_length(F.replace(text, part, F.lit("")))
+    return (saved / F.octet_length(part)).cast("int")
 
 
 def _count_phrases(lowered: Column, plain: Column) -> Column:
-    """Occurrences of all phrases, each counted by itself. Plain text needs only the ASCII ones."""
-    def total(phrases):
-        return reduce(lambda a, b: a + b, [_count_literal(lowered, p) for p in phrases])
+    """Occurrences of all phrases, each counted by itself. Plain text needs only the ASCII ones.
 
+    A loop over the phrases keeps the generated code short enough to be compiled.
+    """
     phrases = [p.lower() for p in FRAUD_PHRASES]
-    return F.when(plain, total([p for p in phrases if p.isascii()])).otherwise(total(phrases))
+    every = F.array(*map(F.lit, phrases))
+    ascii_only = F.array(*[F.lit(p) for p in phrases if p.isascii()])
+    return F.aggregate(
+        F.when(plain, ascii_only).otherwise(every), F.lit(0), lambda n, p: n + _count_literal(lowered, p)
+    )
 
 
 def _irreducible(words) -> tuple[str, ...]:
@@ -168,7 +172,7 @@ def feature_columns(raw: Column, lowered: Column, plain: Column) -> dict[str, Co
         "has_bank_account": raw.rlike(ACCOUNT),
         "bank_mention": _contains_any(lowered, _irreducible(BANK_WORDS)),
         "fraud_keyword_count": _count_phrases(lowered, plain),
-        "exclamation_count": _count_literal(raw, "!"),
+        "exclamation_count": _count_literal(raw, F.lit("!")),
         "capslock_ratio": _whole_capital_ratio(raw, plain),
         "msg_length": word_count(raw),
     }

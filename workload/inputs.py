@@ -60,7 +60,7 @@ def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(3_000_000_000) + F.col("o_orderkey")).alias("msg_id"), order_notice().alias("text")
     )
     turns = sms_table(spark, sf_dir).select((F.lit(1_000_000_000) + F.col("msg_id")).alias("msg_id"), "text")
-    return spread(email_table(spark, sf_dir).select("msg_id", "text")).unionByName(turns).unionByName(pages).unionByName(orders)
+    return spread(email_table(spark, sf_dir).select("msg_id", "text")).unionByName(turns).unionByName(spread(pages)).unionByName(spread(orders))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
