@@ -7,8 +7,8 @@ vocabulary holds at most `max_features` terms, so it travels with the model and
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
-from functools import reduce
+from dataclasses import asdict, dataclass
+from functools import cached_property, reduce
 
 from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors
@@ -125,6 +125,11 @@ class FeatureModel:
             tuple(ngrams),
         )
 
+    @cached_property
+    def _counter(self) -> CountVectorizerModel:
+        """Handing thousands of terms to the JVM takes a while, so it is done once per model."""
+        return _count_model(self.terms, "grams", "_tf")
+
     @property
     def size(self) -> int:
         return len(self.terms) + len(self.manual)
@@ -143,11 +148,10 @@ class FeatureModel:
 
     def text_vectors(self, df: DataFrame, output: str = "tfidf") -> DataFrame:
         """Append L2-normalised TF-IDF vectors; terms outside the vocabulary are ignored."""
-        counted = _count_model(self.terms, "grams", "_tf")
         weigh = ElementwiseProduct(scalingVec=Vectors.dense(self.idf), inputCol="_tf", outputCol="_weighted")
         unit = Normalizer(p=2.0, inputCol="_weighted", outputCol=output)
         staged = with_grams(df, self.text, self.ngrams)
-        return unit.transform(weigh.transform(counted.transform(staged))).drop("grams", "_tf", "_weighted")
+        return unit.transform(weigh.transform(self._counter.transform(staged))).drop("grams", "_tf", "_weighted")
 
     def scale_manual(self, df: DataFrame) -> DataFrame:
         """Replace the manual features by their scaled values."""
@@ -169,7 +173,7 @@ class FeatureModel:
         return VectorAssembler(inputCols=inputs, outputCol=output).transform(staged).select(*kept, output)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(json.dumps(self.__dict__),)], "model string").coalesce(1).write.text(path)
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "model string").coalesce(1).write.text(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FeatureModel":

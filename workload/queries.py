@@ -577,7 +577,7 @@ def stream_score(spark, sf_dir):
 
 def stream_dedupe(spark, sf_dir):
     """Each text once, whichever copy arrived first."""
-    arrived = _document_stream(spark, sf_dir).withColumn("arrived", F.timestamp_seconds(F.col("doc_id") % 86_400))
+    arrived = _document_stream(spark, sf_dir).withColumn("arrived", F.timestamp_seconds(1_700_000_000 + F.col("doc_id") % 86_400))
     return _run(streaming.dedupe_stream(arrived, "arrived", "2 days").select(F.md5("text").alias("text_md5")))
 
 
