@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import language_model
+from msgrisk.llm import language_model, mixing
 from msgrisk.llm.tables import documents, fold
 
 
@@ -16,5 +16,14 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
-QUERIES = {"op1_lm_scoring": op1_lm_scoring}
+def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Copies of every document that bring each source to its target."""
+    mixed = mixing.mix(documents(spark, sf_dir))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
+
+
+QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
+    "op10_source_mixing": op10_source_mixing,
+}
 ORACLE: dict[str, str] = {}
