@@ -28,13 +28,14 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from msgrisk.llm import sums
 from msgrisk.llm.tables import stored
 from msgrisk.llm.tokens import Words, hash64, mix, pieces, tails, words
 
 END = b"\n"  # no word holds it
 HEAD_CLASSES, CLASS_SIZE, TAIL_CLASSES = 8, 32, 24
 CLASSES, HEAD = HEAD_CLASSES + TAIL_CLASSES, HEAD_CLASSES * CLASS_SIZE
-BUCKETS, OWN_BUCKETS, BLOCK = 1024, 512, 64
+BUCKETS, OWN_BUCKETS = 1024, 512
 BROADCAST_WORDS = 1 << 18
 ROUNDS, RATE, PRIOR, LIMIT = 3, 0.5, 4.0, 8.0
 SMOOTHING = 0.1
@@ -202,32 +203,10 @@ def _sums(texts: DataFrame, text_col: str, shared, gradient: bool) -> tuple[np.n
                 _observe(both[0], *args)
                 if gradient:
                     _run_log_probabilities(weights, class_bias, word_bias, *args, want_gradient=both)
-        used = both if gradient else both[:1]
-        salt = TaskContext.get().partitionId() % 32
-        blocks = range(BUCKETS // BLOCK)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(blocks, pa.int32()), pa.array([salt] * len(blocks), pa.int32()),
-            pa.array([used[:, i * BLOCK:(i + 1) * BLOCK].astype(np.float32).tobytes() for i in blocks], pa.binary()),
-        ], ["block", "salt", "sums"])
-
-    def total(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = None
-        for batch in batches:
-            for value in batch.column("sums"):
-                got = np.frombuffer(value.as_buffer(), np.float32).astype(np.float64)
-                out = got if out is None else out + got
-        names = ["block", "salt", "sums"]
-        values = [pa.array([key[0].as_py()], pa.int32()), pa.array([0], pa.int32()), pa.array([out.astype(np.float32).tobytes()], pa.binary())]
-        yield pa.RecordBatch.from_arrays(values, names)
-
-    kind = "block int, salt int, sums binary"
-    parts = texts.select(text_col).mapInArrow(add, kind).groupBy("block", "salt").applyInArrow(total, kind)
-    rows = parts.groupBy("block").applyInArrow(total, kind).collect()  # BUCKETS / BLOCK rows of fixed size
-    out = np.zeros((2, BUCKETS, _PARTS[-1]))
-    for row in rows:
-        got = np.frombuffer(row.sums, np.float32).reshape(-1, BLOCK, _PARTS[-1])
-        out[:len(got), row.block * BLOCK:(row.block + 1) * BLOCK] = got
-    return out[0], out[1]
+        yield sums.part(both)
+
+    both = sums.total(texts.select(text_col).mapInArrow(add, sums.PART), 2 * BUCKETS * _PARTS[-1])
+    return tuple(both.reshape(2, BUCKETS, _PARTS[-1]))
 
 
 def _biases(observed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

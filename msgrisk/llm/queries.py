@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import language_model, mixing
-from msgrisk.llm.tables import documents, fold
+from msgrisk.llm import language_id, language_model, mixing, page_text
+from msgrisk.llm.tables import documents, fold, table
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,19 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return page_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from three folds of four."""
+    docs = documents(spark, sf_dir)
+    tagger = language_id.fit(docs.where(fold("doc_id", 4) != 2), "text", "lang")
+    held_out = docs.select("doc_id", "text", (fold("doc_id", 4) == 2).alias("held_out"))
+    return language_id.identify(tagger, held_out)
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Copies of every document that bring each source to its target."""
     mixed = mixing.mix(documents(spark, sf_dir))
@@ -24,6 +37,8 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op7_html_extraction": op7_html_extraction,
+    "op9_language_id": op9_language_id,
     "op10_source_mixing": op10_source_mixing,
 }
 ORACLE: dict[str, str] = {}
