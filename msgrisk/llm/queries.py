@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import language_id, language_model, mixing, page_text
+from msgrisk.llm import language_id, language_model, mixing, page_text, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -16,6 +16,22 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
+    """The grammar fitted on labelled rows of two folds of three."""
+    marks = labels.select("doc_id", "toxic").where("toxic is not null").dropDuplicates(["doc_id"])
+    rows = docs.select("doc_id", "text").where(fold("doc_id", 3) != 1).join(marks, "doc_id")
+    return toxicity.fit(rows, "text", "toxic")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = toxicity_model(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(model, docs)
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return page_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -37,6 +53,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op4_toxicity": op4_toxicity,
     "op7_html_extraction": op7_html_extraction,
     "op9_language_id": op9_language_id,
     "op10_source_mixing": op10_source_mixing,

@@ -13,7 +13,7 @@ count for nothing. A text is scored by logistic regression on what its matched c
 
 Fixed seed words start the lexicon. Insults of any language are learned from labelled rows: words and word
 stems that mark toxic texts, chosen one after another so that each explains toxic texts that those before it
-don't; copies of one toxic text therefore teach no chance words. The fit takes about FIT_ROWS labelled rows,
+don't; copies of one toxic text therefore teach no chance words. Stems with a family of many words are added. The fit takes about FIT_ROWS labelled rows,
 chosen by a hash of the text.
 """
 
@@ -35,7 +35,9 @@ FIT_ROWS = 12_000
 MIN_TEXTS = 4
 MIN_RATIO = 20.0
 LEXICON_SIZE = 4096
-STEMS = (4, 5, 6)
+STEMS = (4, 5, 6, 7, 8)
+#: A stem of so many words, in so many toxic texts, that clean texts lack is a family of insults.
+FAMILY_WORDS, FAMILY_TEXTS, FAMILY_RATIO = 5, 8, 100.0
 THRESHOLD = 0.7
 NEGATION_REACH, TARGET_REACH = 3, 4
 
@@ -146,25 +148,30 @@ def _features(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in STEMS if len(word) >= k)] if word else []
 
 
-def _evidence(chosen: DataFrame) -> tuple[dict[str, list[int]], dict[str, int], int]:
-    """Toxic texts of each feature of MIN_TEXTS toxic texts, and how many clean texts have it. Bounded by the fit rows."""
+def _evidence(chosen: DataFrame) -> tuple[dict[str, tuple[list[int], int]], dict[str, int], int]:
+    """Toxic texts and number of words of each feature of MIN_TEXTS toxic texts; how many clean texts have it; all clean
+    texts. Bounded by the fit rows."""
 
     def toxic_features(batches):
         for piece in pieces(batches, "text"):
             found = words(pc.utf8_lower(piece.column("text")))
             plain, of = _plain(found.vocab), owners(found.starts)
             key = np.unique(of * len(found.vocab) + found.ids)
-            names, rows = [], []
+            names, rows, from_words = [], [], []
             ids = piece.column("key").to_pylist()
             for row, word in zip(key // max(1, len(found.vocab)), key % max(1, len(found.vocab))):
                 got = _features(plain[word])
                 names += got
                 rows += [ids[row]] * len(got)
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(rows, pa.int64())], ["feature", "key"])
-
-    toxic = chosen.where("label = 1").mapInArrow(toxic_features, "feature string, key bigint")
-    common = toxic.groupBy("feature").agg(F.collect_set("key").alias("keys")).where(F.size("keys") >= MIN_TEXTS)
-    texts = {row.feature: row["keys"] for row in common.collect()}
+                from_words += [plain[word]] * len(got)
+            columns = [pa.array(names, pa.string()), pa.array(rows, pa.int64()), pa.array(from_words, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["feature", "key", "word"])
+
+    toxic = chosen.where("label = 1").mapInArrow(toxic_features, "feature string, key bigint, word string")
+    common = toxic.groupBy("feature").agg(
+        F.collect_set("key").alias("keys"), F.count_distinct("word").alias("words")
+    ).where(F.size("keys") >= MIN_TEXTS)
+    texts = {row.feature: (row["keys"], row["words"]) for row in common.collect()}
     shared = chosen.sparkSession.sparkContext.broadcast(frozenset(texts))
 
     def clean_counts(batches):
@@ -189,18 +196,21 @@ def _evidence(chosen: DataFrame) -> tuple[dict[str, list[int]], dict[str, int],
     return texts, counts, n_clean
 
 
-def _learn_lexicon(texts: dict[str, list[int]], clean: dict[str, int], n_clean: int) -> dict[str, float]:
+def _learn_lexicon(texts: dict[str, tuple[list[int], int]], clean: dict[str, int], n_clean: int) -> dict[str, float]:
     """Greedy cover of the toxic texts by features that clean texts lack."""
-    toxic = {k for keys in texts.values() for k in keys}
+    toxic = {k for keys, _ in texts.values() for k in keys}
     lexicon = {}
     scored = {}
-    for feature, keys in texts.items():
+    families = set()
+    for feature, (keys, n_words) in texts.items():
         ratio = ((len(keys) + 0.5) / (len(toxic) + 1)) / ((clean.get(feature, 0) + 0.5) / (n_clean + 1))
         if ratio >= MIN_RATIO:
             scored[feature] = (set(keys), math.log(ratio))
+            if n_words >= FAMILY_WORDS and len(keys) >= FAMILY_TEXTS and ratio >= FAMILY_RATIO:
+                families.add(feature)
     seeds = set(SEEDS[INSULT].split())
     open_texts = set(toxic)
-    for feature in sorted(seeds & set(scored)):
+    for feature in sorted((seeds & set(scored)) | families)[:LEXICON_SIZE]:
         lexicon[feature] = scored[feature][1]
         open_texts -= scored[feature][0]
     for feature in seeds - set(texts):
