@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import language_id, language_model, mixing, page_text, toxicity
+from msgrisk.llm import decontamination, language_id, language_model, mixing, page_text, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -37,6 +37,11 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the item."""
+    return decontamination.find_leaks(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three folds of four."""
     docs = documents(spark, sf_dir)
@@ -55,6 +60,7 @@ QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op4_toxicity": op4_toxicity,
     "op7_html_extraction": op7_html_extraction,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_source_mixing": op10_source_mixing,
 }
