@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import decontamination, language_id, language_model, mixing, page_text, toxicity
+from msgrisk.llm import decontamination, language_id, language_model, mixing, ngram_join, page_text, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -16,6 +16,11 @@ def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-copy component of every document: 4-word shingles, 85 %."""
+    return ngram_join.join(documents(spark, sf_dir), n=4, percent=85)
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
     """The grammar fitted on labelled rows of two folds of three."""
     marks = labels.select("doc_id", "toxic").where("toxic is not null").dropDuplicates(["doc_id"])
@@ -58,6 +63,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
+    "op2_ngram_join": op2_ngram_join,
     "op4_toxicity": op4_toxicity,
     "op7_html_extraction": op7_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
