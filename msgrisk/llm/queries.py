@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import decontamination, language_id, language_model, mixing, ngram_join, page_text, toxicity
+from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, page_text, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -37,6 +37,14 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without later copies of line runs that repeat."""
+    cut = line_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "n_lines", "n_removed", "n_runs", F.length("text").alias("kept_chars"), F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page."""
     return page_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
@@ -65,6 +73,7 @@ QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_ngram_join": op2_ngram_join,
     "op4_toxicity": op4_toxicity,
+    "op6_line_dedup": op6_line_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
