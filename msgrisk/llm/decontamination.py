@@ -206,3 +206,28 @@ def find_leaks(
     if not found:
         return spark.createDataFrame([], schema)
     return reduce(DataFrame.unionByName, found)
+
+
+def count_leaks(
+    docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", count_col: str = "n_leaks",
+) -> DataFrame:
+    """docs with the number of benchmark items that each row's text holds. Rows without a text hold none."""
+    if count_col in docs.columns:
+        raise ValueError(f"column {count_col} is taken; name another")
+    spark = docs.sparkSession
+    out = docs.withColumn(count_col, F.lit(0).cast("bigint"))
+    for ids, texts in item_blocks(benchmark, item_col, item_text_col):
+        shared = spark.sparkContext.broadcast((ids, texts))
+
+        def run(batches: Iterable[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            items = None
+            for piece in pieces(batches, text_col):
+                items = items or _Items(*shared.value)
+                counts = piece.column(count_col).to_numpy() + np.bincount(
+                    [hit[0] for hit in _matches(items, piece.column(text_col))], minlength=piece.num_rows
+                ).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(counts)], piece.schema.names)
+
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema)
+        out = out.mapInArrow(run, fields)
+    return out
