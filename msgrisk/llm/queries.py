@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, page_text, toxicity
+from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, page_text, suffix_dedup, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -21,6 +21,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join(documents(spark, sf_dir), n=4, percent=85)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that documents of smaller doc_id have."""
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir))
+
+
 def toxicity_model(docs: DataFrame, labels: DataFrame) -> toxicity.ToxicityModel:
     """The grammar fitted on labelled rows of two folds of three."""
     marks = labels.select("doc_id", "toxic").where("toxic is not null").dropDuplicates(["doc_id"])
@@ -72,6 +77,7 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_ngram_join": op2_ngram_join,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_toxicity": op4_toxicity,
     "op6_line_dedup": op6_line_dedup,
     "op7_html_extraction": op7_html_extraction,
