@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, page_text, suffix_dedup, toxicity
+from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, page_text, suffix_dedup, topk_search, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -42,6 +42,12 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op5_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every fiftieth document as a query."""
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    return topk_search.search(docs, docs.where("doc_id % 50 = 0"))
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without later copies of line runs that repeat."""
     cut = line_dedup.dedup(documents(spark, sf_dir).select("doc_id", "text"))
@@ -79,6 +85,7 @@ QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op3_suffix_dedup": op3_suffix_dedup,
     "op4_toxicity": op4_toxicity,
+    "op5_topk_search": op5_topk_search,
     "op6_line_dedup": op6_line_dedup,
     "op7_html_extraction": op7_html_extraction,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
