@@ -54,10 +54,11 @@ def node_features(vocab: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     marked[inside] = data
     word = np.repeat(np.arange(n), lengths)
     ids, of = [(hash64(vocab) & np.uint64(FEATURES - 1)).astype(np.int64)], [np.arange(n)]
+    padded = np.r_[marked, np.zeros(max(ORDERS), np.uint64)]
     code = np.zeros(starts[-1], np.uint64)
     room = starts[1:][word] - np.arange(starts[-1])
     for k in range(max(ORDERS)):
-        code = code | np.r_[marked[k:], np.zeros(k, np.uint64)] << np.uint64(8 * k)
+        code = code | padded[k:k + len(marked)] << np.uint64(8 * k)
         if k + 1 in ORDERS:
             at = np.flatnonzero(room > k)
             ids.append((mix(code[at] + np.uint64((k + 1) << 40)) & np.uint64(FEATURES - 1)).astype(np.int64))

@@ -147,7 +147,7 @@ def _round(rows: DataFrame, last: bool) -> DataFrame:
         key = [int(frame["mx_hash"].iloc[0]) & 0xFFFFFFFF, len(frame)]
         size, chance = frame["mx_size"].to_numpy(float), frame["chance"].to_numpy(float)
         flying = np.ones(len(frame), bool)
-        if last:
+        if last or frame["block"].iloc[0] == 0:
             # A few rows below the median size wait for the landing, which finds a corner close to the target.
             short = np.flatnonzero((size > 0) & (chance > _EDGE) & (chance < 1 - _EDGE) & (size <= np.median(size)))
             flying[short[:LANDING_ROWS]] = False
@@ -174,9 +174,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rows = rows.withColumn("wanted", wanted).withColumn("base", base).withColumn("chance", F.greatest(F.col("wanted") - F.col("base"), F.lit(0.0)))
     blocks = F.ceil(F.col("mx_rows") / BLOCK_ROWS)
     rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod("mx_hash", "blocks")).drop("wanted", "mx_rows")
-    decided, most = [], plan.agg(F.max("mx_rows")).first()[0] or 0
+    decided, most = [], -(-(plan.agg(F.max("mx_rows")).first()[0] or 0) // BLOCK_ROWS)
     while True:
-        last = most <= BLOCK_ROWS
+        last = most <= 1
         rows = stored(_round(rows, last), "mix-round")
         open_rows = (F.col("chance") > 0) & (F.col("chance") < 1)
         decided.append(rows.where(~open_rows))
@@ -185,7 +185,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         # A source of one block can have open rows as well; they meet again with the larger ones.
         blocks = F.ceil(F.col("blocks") * 2 / BLOCK_ROWS)
         rows = rows.where(open_rows).withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("mx_hash"), "blocks"))
-        most = -(-most // BLOCK_ROWS) * 2
+        most = -(-most * 2 // BLOCK_ROWS)
     out = decided[0]
     for more in decided[1:]:
         out = out.unionByName(more)
