@@ -76,7 +76,6 @@ MIN_SUPPORT, MIN_CONFIDENCE, MIN_LIFT, MAX_ITEMSET = 0.15, 0.8, 1.5, 3
 N_CLUSTERS, N_RESTARTS = 5, 10
 TEST_SHARE = 0.2
 SEED = 42
-METRIC_SAMPLE, PLOT_SAMPLE = 10_000, 5_000
 TOP_KEYWORDS, EXAMPLES_PER_CLUSTER = 7, 3
 CLUSTER_NAME = "Nhóm liên quan tới '%s'"
 

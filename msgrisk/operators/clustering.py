@@ -13,10 +13,11 @@ from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from msgrisk.constants import CLUSTER_NAME, METRIC_SAMPLE, N_RESTARTS, SEED, TOP_KEYWORDS
+from msgrisk.constants import CLUSTER_NAME, N_RESTARTS, SEED, TOP_KEYWORDS
 from msgrisk.functions.arrays import bound, squared_distance
 from msgrisk.operators.pairwise import silhouettes
-from msgrisk.operators.sampling import capped_sample, cluster_examples
+from msgrisk.operators.sampling import cluster_examples
+from msgrisk.session import materialised
 
 
 # Fits that run side by side.
@@ -93,13 +94,24 @@ def sweep_values(k_values: Sequence[int], n_rows: int) -> list[int]:
 
 
 def k_sweep(
-    df: DataFrame, models: dict[int, KMeansModel], key: str = "msg_id", features: str = "features"
+    df: DataFrame, models: dict[int, KMeansModel], key: str = "msg_id", features: str = "features", exact: bool = False
 ) -> DataFrame:
-    """(k, inertia, silhouette) of fitted models. The silhouettes of all k share one pass over the distances."""
+    """(k, inertia, silhouette) of fitted models.
+
+    Silhouettes are by squared distance, in linear time. With exact=True they are Euclidean over all pairs of
+    rows, which is quadratic; all k then share one pass over the distances.
+    """
     costs = [(k, f"k{k}", float(m.summary.trainingCost)) for k, m in sorted(models.items())]
     table = df.sparkSession.createDataFrame(costs, "k int, clustering string, inertia double")
     if not costs:
         return table.select("k", "inertia", F.lit(None).cast("double").alias("silhouette"))
+    if not exact:
+        measured = [
+            (name, ClusteringEvaluator(predictionCol="cluster_id", featuresCol=features).evaluate(models[k].transform(df)))
+            for k, name, _ in costs
+        ]
+        scores = df.sparkSession.createDataFrame(measured, "clustering string, silhouette double")
+        return table.join(F.broadcast(scores), "clustering").select("k", "inertia", "silhouette")
     assigned = df.select(key, features)
     for k, name, _ in costs:
         assigned = models[k].transform(assigned).withColumnRenamed("cluster_id", name)
@@ -202,14 +214,17 @@ def cluster_quality(
     key: str = "msg_id",
     cluster: str = "cluster_id",
     vector: str = "features",
-    cap: int = METRIC_SAMPLE,
-    seed: int = SEED,
+    exact: bool = False,
 ) -> DataFrame:
-    """(metric, value) of the report, rounded to 4. The report measures at most `cap` rows."""
-    sample = capped_sample(df.select(key, cluster, vector), cap, key, seed)
-    spread = dispersion(sample, cluster, vector)
+    """(metric, value) of the report over all rows, rounded to 4.
+
+    The silhouette is by squared distance, in linear time; with exact=True it is Euclidean over all pairs. The
+    k rows of dispersion are written once and feed both other measures.
+    """
+    rows = df.select(key, cluster, vector)
+    spread = materialised(dispersion(rows, cluster, vector), "dispersion")
     parts = {
-        "silhouette": silhouette_exact(sample, key, cluster, vector),
+        "silhouette": silhouette_exact(rows, key, cluster, vector) if exact else silhouette_fast(rows, cluster, vector),
         "davies_bouldin": davies_bouldin(spread, cluster),
         "calinski_harabasz": calinski_harabasz(spread),
     }

@@ -109,8 +109,3 @@ def cluster_examples(
         .filter(F.col("example_rank") <= size)
         .drop("_digest")
     )
-
-
-def scalar(df: DataFrame, value: Column) -> Column:
-    """One aggregate over a table as a scalar subquery."""
-    return df.agg(value.alias("value")).scalar()

@@ -172,8 +172,8 @@ class FeatureModel:
         inputs = ["_tfidf", *[f"_m{i}" for i in range(len(self.manual))]]
         return VectorAssembler(inputCols=inputs, outputCol=output).transform(staged).select(*kept, output)
 
-    def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(json.dumps(asdict(self)),)], "model string").coalesce(1).write.text(path)
+    def save(self, spark: SparkSession, path: str, mode: str = "error") -> None:
+        spark.createDataFrame([(json.dumps(asdict(self)),)], "model string").coalesce(1).write.mode(mode).text(path)
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "FeatureModel":

@@ -51,15 +51,17 @@ class MessageRiskModel:
         scored = self.score(messages, text, key)
         return scored.select(key, F.col(text).alias("text"), *OUTPUT[1:])
 
-    def save(self, path: str) -> None:
-        spark = self.risks.sparkSession
-        self.features.save(spark, f"{path}/features")
-        self.forest.save(f"{path}/forest")
-        if self.kmeans:
-            self.kmeans.save(f"{path}/kmeans")
-        self.risks.write.parquet(f"{path}/risks")
-        self.rules.write.parquet(f"{path}/rules")
-        spark.createDataFrame([(bool(self.kmeans),)], "clustered boolean").write.parquet(f"{path}/parts")
+    def save(self, path: str, overwrite: bool = False) -> None:
+        """Write all parts below a path. A path that holds a model is refused at once, or overwritten on request."""
+        spark, mode = self.risks.sparkSession, "overwrite" if overwrite else "error"
+        # The list of parts comes first, so that an existing model stops the save before anything is written.
+        spark.createDataFrame([(bool(self.kmeans),)], "clustered boolean").write.mode(mode).parquet(f"{path}/parts")
+        self.features.save(spark, f"{path}/features", mode)
+        for name, part in (("forest", self.forest), ("kmeans", self.kmeans)):
+            if part:
+                (part.write().overwrite() if overwrite else part.write()).save(f"{path}/{name}")
+        self.risks.write.mode(mode).parquet(f"{path}/risks")
+        self.rules.write.mode(mode).parquet(f"{path}/rules")
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "MessageRiskModel":
@@ -83,6 +85,7 @@ class TrainingSummary:
     importance: DataFrame
     diagnostics: DataFrame
     rules: DataFrame
+    rejected: DataFrame
 
 
 def fit(
@@ -97,6 +100,7 @@ def fit(
     num_trees: int = 300,
     max_depth: int = MAX_DEPTH,
     strict_labels: bool = True,
+    exact_silhouette: bool = False,
     risk_from_all_rows: bool = False,
     seed: int = SEED,
 ) -> tuple[MessageRiskModel, TrainingSummary]:
@@ -105,6 +109,9 @@ def fit(
     Tables that several stages read are written once to the shared folder: the split rows, the
     training vectors, the cluster rows and the rules.
 
+    Ids must be unique. Lenient labels leave out rows whose label is unknown and count them. The silhouettes of
+    the sweep are by squared distance unless exact_silhouette is set.
+
     By default the risk of a cluster is the mean label of the rows it was fitted on, which are the
     fraud rows. risk_from_all_rows takes the mean over all training rows nearest to it instead.
     """
@@ -112,7 +119,12 @@ def fit(
         if column not in messages.columns:
             raise KeyError(f"Missing {kind} column: {column}")
     labelled = preprocess(messages, text).withColumn("y", coerce_label(F.col(label), strict_labels))
-    prepared = materialised(labelled.drop(text, label).filter("y IS NOT NULL"), "prepared")
+    known = materialised(labelled.drop(text, label), "prepared")
+    prepared = known.filter("y IS NOT NULL")
+    repeated = prepared.groupBy(key).count().filter("count > 1").limit(1).collect()
+    if repeated:
+        raise ValueError(f"{key} {repeated[0][0]} occurs more than once; ids must be unique (see merge_sources)")
+    rejected = known.agg(F.count_if(F.col("y").isNull()).alias("rejected"))
     split = materialised(stratified_split(prepared, "y", key, test_size, seed), "split")
     train, test = split.filter("fold = 'train'"), split.filter("fold = 'test'")
 
@@ -129,7 +141,7 @@ def fit(
     # The sweep is reported only; its model for the wanted k is the one kept.
     swept = clustering.sweep_values(range(2, max(3, k + 1)), n_rows)
     models = clustering.fit_kmeans_many(rows, swept, "features", restarts, seed)
-    diagnostics = materialised(clustering.k_sweep(rows, models, key), "diagnostics")
+    diagnostics = materialised(clustering.k_sweep(rows, models, key, exact=exact_silhouette), "diagnostics")
     kmeans = models.get(k)
     rows.unpersist()
     rated = vectors if risk_from_all_rows else source
@@ -141,7 +153,7 @@ def fit(
     spark = messages.sparkSession
     summary = TrainingSummary(
         confusion, metrics.classification_report(confusion), metrics.roc_auc(judged),
-        feature_importance(forest, features.names, spark), diagnostics, rules,
+        feature_importance(forest, features.names, spark), diagnostics, rules, rejected,
     )
     return MessageRiskModel(features, forest, kmeans, risks, rules), summary
 
@@ -152,6 +164,7 @@ def summary_table(summary: TrainingSummary) -> DataFrame:
         summary.report.select(F.concat_ws("/", "label", "metric").alias("metric"), "value"),
         summary.auc.select(F.lit("roc_auc").alias("metric"), F.col("auc").alias("value")),
         summary.rules.agg(F.count("*").cast("double").alias("value")).select(F.lit("rules").alias("metric"), "value"),
+        summary.rejected.select(F.lit("rejected_labels").alias("metric"), F.col("rejected").cast("double").alias("value")),
         summary.diagnostics.select(F.format_string("inertia/%d", "k").alias("metric"), F.col("inertia").alias("value")),
         summary.diagnostics.select(F.format_string("silhouette/%d", "k").alias("metric"), F.col("silhouette").alias("value")),
     ]

@@ -40,15 +40,6 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
-
-
 def materialised(df: DataFrame, name: str) -> DataFrame:
     """Write a table that several later jobs read, and read it back from the shared folder."""
     path = scratch_path(df.sparkSession, name)

@@ -9,19 +9,20 @@ CORRUPT = "_corrupt_row"
 VALID, FALLBACK = "UTF-8", "ISO-8859-1"
 
 
-def files_by_encoding(spark: SparkSession, path: str | list[str]) -> dict[str, list[str]]:
-    """Files grouped by the encoding that can read them.
+def files_by_layout(spark: SparkSession, path: str | list[str]) -> dict[tuple[str, str], list[str]]:
+    """Files grouped by the encoding that can read them and by their heading line.
 
-    One scan with a map-side combined aggregate of one row per file. Only file names reach the
+    One scan with a map-side combined aggregate of one row per file. Only file names and heading lines reach the
     driver, which holds the listing of a file scan in any case.
     """
     lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid")
+        F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("valid"), "value",
+        F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("at"),
     )
-    checked = lines.groupBy("file").agg(F.min("valid").alias("valid"))
-    groups: dict[str, list[str]] = {}
+    checked = lines.groupBy("file").agg(F.min("valid").alias("valid"), F.min_by("value", "at").alias("heading"))
+    groups: dict[tuple[str, str], list[str]] = {}
     for row in checked.orderBy("file").toLocalIterator():
-        groups.setdefault(VALID if row.valid else FALLBACK, []).append(row.file)
+        groups.setdefault((VALID if row.valid else FALLBACK, row.heading), []).append(row.file)
     return groups
 
 
@@ -38,23 +39,31 @@ def _read_group(spark: SparkSession, files: list[str], encoding: str, multi_line
     schema = T.StructType([*fields, T.StructField(CORRUPT, T.StringType())])
     rows = reader.schema(schema).option("columnNameOfCorruptRecord", CORRUPT).csv(files)
     # The reader flags short and long rows alike; a row is long if it has too many separators
-    # outside quotes. Rows with the right number of fields never reach the pattern.
-    bare = F.regexp_replace(CORRUPT, '"[^"]*"', "")
+    # outside quoted cells; a quote opens a cell only at its start. Rows with the right number of
+    # fields never reach the pattern.
+    bare = F.regexp_replace(CORRUPT, r'(^|,)"[^"]*+(?:""[^"]*+)*+"(?=,|\s*$)', "$1")
     separators = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit("")))
     over_long = F.col(CORRUPT).isNotNull() & (separators >= len(columns))
     return rows.filter(~over_long).drop(CORRUPT)
 
 
-def read_csv(spark: SparkSession, path: str | list[str], multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str | list[str], multi_line: bool = True, encoding: str | None = None
+) -> DataFrame:
     """All columns as strings; rows with too many fields are left out, short rows end in nulls.
 
+    Files with different headings are united by column name. Given an encoding, the pass that looks for
+    encodings and headings is saved, and all files must have the heading of the first.
+
     multi_line allows newlines inside quotes, at the price that one file is one task. Turn it off
     for large files without such cells, which are then split.
     """
-    groups = files_by_encoding(spark, path)
+    if encoding:
+        return _read_group(spark, [path] if isinstance(path, str) else path, encoding, multi_line)
+    groups = files_by_layout(spark, path)
     if not groups:
-        raise RuntimeError(f"Unable to read CSV file: {path}")
-    frames = [_read_group(spark, files, enc, multi_line) for enc, files in groups.items()]
+        raise RuntimeError(f"No CSV file with a heading below {path}")
+    frames = [_read_group(spark, files, enc, multi_line) for (enc, _), files in groups.items()]
     result, *rest = frames
     for frame in rest:
         result = result.unionByName(frame, allowMissingColumns=True)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,17 +12,13 @@ from msgrisk.constants import (
 from msgrisk.sources.csv import read_csv
 
 
-def pick_column(columns: Iterable[str], candidates: Sequence[str], dataset: str, kind: str) -> str:
-    """The column matching the first candidate, ignoring case; of equal names the last one."""
-    columns = list(columns)
-    by_lower = {c.lower(): c for c in columns}
-    found = [by_lower[c.lower()] for c in candidates if c.lower() in by_lower]
-    if not found:
-        raise KeyError(
-            f"{dataset} dataset must contain a {kind} column. "
-            f"Tried: {list(candidates)}. Found: {columns}"
-        )
-    return found[0]
+def matching_column(df: DataFrame, wanted: Sequence[str]) -> str:
+    """The first wanted name that df has, whatever its case; of columns that differ in case alone, the last."""
+    for name in wanted:
+        same = [c for c in df.columns if c.casefold() == name.casefold()]
+        if same:
+            return same[-1]
+    raise KeyError(f"none of the columns {', '.join(wanted)} is among {', '.join(df.columns)}")
 
 
 def unify(
@@ -34,10 +30,10 @@ def unify(
 ) -> DataFrame:
     """Pick the text and label columns; rows whose text is missing are dropped.
 
-    Without an id column rows are numbered in file order.
+    Without an id column rows are numbered in file order, from 0 in every source: merge_sources makes the
+    numbers of several sources unique.
     """
-    text = pick_column(df.columns, text_candidates, source, "text")
-    label = pick_column(df.columns, label_candidates, source, "label")
+    text, label = matching_column(df, text_candidates), matching_column(df, label_candidates)
     msg_id = F.monotonically_increasing_id() if id_column is None else df[id_column].cast("bigint")
 
     def value(name):

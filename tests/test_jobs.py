@@ -31,7 +31,7 @@ def test_dedupe_keeps_the_first_source(spark, messages):
     merged = dedupe.merge_sources(extra, messages)
     kept = dedupe.dedupe_messages(merged)
     assert kept.count() == 81
-    assert kept.filter("text = 'the same words again'").first().msg_id == 999
+    assert kept.filter("text = 'the same words again'").first().msg_id == 999 * 2
     summary = {r.metric: r.value for r in dedupe.dataset_summary(merged, kept).collect()}
     assert summary == {"sms_rows": 41, "email_rows": 80, "total_rows": 81, "removed_rows": 40,
                        "label_spam": 41, "label_ham": 40}

@@ -3,8 +3,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from msgrisk.functions.labels import coerce_label
-from msgrisk.sources.csv import files_by_encoding, read_csv
-from msgrisk.sources.messages import load_email, load_sms, pick_column
+from msgrisk.sources.csv import files_by_layout, read_csv
+from msgrisk.sources.messages import load_email, load_sms, matching_column
 
 
 def rows(df):
@@ -31,7 +31,7 @@ def test_encoding_is_chosen_per_file(spark, tmp_path):
     (tmp_path / "a.csv").write_bytes(b"v1,v2\nham,caf\xe9\n")
     (tmp_path / "b.csv").write_bytes("v1,v2\nham,lừa\n".encode())
     (tmp_path / "c.csv").write_bytes(b"\xef\xbb\xbf" + "v1,v2\nham,đảo\n".encode())
-    groups = {k: len(v) for k, v in files_by_encoding(spark, str(tmp_path)).items()}
+    groups = {k[0]: len(v) for k, v in files_by_layout(spark, str(tmp_path)).items()}
     assert groups == {"UTF-8": 2, "ISO-8859-1": 1}
     assert rows(read_csv(spark, str(tmp_path))) == [("ham", "café"), ("ham", "lừa"), ("ham", "đảo")]
 
@@ -51,11 +51,22 @@ def test_rows_are_numbered_in_file_order(spark, tmp_path):
     assert [r.text for r in loaded] == [f"t{i:03}" for i in range(50)]
 
 
-def test_pick_column():
-    assert pick_column(["Text", "V2"], ("v2", "text"), "SMS", "text") == "V2"
-    assert pick_column(["text", "TEXT"], ("text",), "SMS", "text") == "TEXT"
-    with pytest.raises(KeyError, match="Tried.*v2.*Found.*a"):
-        pick_column(["a"], ("v2",), "SMS", "text")
+def test_matching_column(spark):
+    assert matching_column(spark.createDataFrame([], "Text int, V2 int"), ("v2", "text")) == "V2"
+    with pytest.raises(KeyError, match="v2 is among a"):
+        matching_column(spark.createDataFrame([], "a int"), ("v2",))
+
+
+def test_files_of_different_headings(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("label,text\nham,one\n")
+    (tmp_path / "b.csv").write_text("text,label\ntwo,spam\n")
+    got = {(r.label, r.text) for r in read_csv(spark, str(tmp_path)).collect()}
+    assert got == {("ham", "one"), ("spam", "two")}
+
+
+def test_bare_quotes_do_not_hide_separators(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('v1,v2\nham,5" x,6" y\nham,ok\n"a,b","c ""d"", e"\n')
+    assert sorted(r.v1 for r in read_csv(spark, str(tmp_path)).collect()) == ["a,b", "ham"]
 
 
 @pytest.mark.parametrize("raw, y", [

@@ -66,9 +66,12 @@ def csv_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.concat(F.lit("spam,"), quoted))
     )
     path = scratch_path(spark, "csv-lines")
-    lines = inputs.table(spark, sf_dir, "documents").select(line.alias("value"))
-    header = spark.createDataFrame([("v1,v2",)], "value string")
-    header.unionByName(lines).coalesce(1).write.text(path)
+    lines = inputs.spread(inputs.table(spark, sf_dir, "documents")).select(line.alias("value"))
+    # One file per task, each with its own heading.
+    numbered = lines.withColumn("file", F.spark_partition_id()).select("file", F.lit(1).alias("at"), "value")
+    headings = numbered.select("file").distinct().select("file", F.lit(0).alias("at"), F.lit("v1,v2").alias("value"))
+    rows = headings.unionByName(numbered).repartition("file").sortWithinPartitions("file", "at")
+    rows.write.partitionBy("file").text(path)
     return read_csv(spark, path).select("v1", F.md5("v2").alias("v2_md5"))
 
 
@@ -86,7 +89,7 @@ def load_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _merged(spark, sf_dir) -> DataFrame:
-    return dedupe.merge_sources(inputs.sms_table(spark, sf_dir), inputs.email_table(spark, sf_dir))
+    return dedupe.merge_sources(inputs.sms_table(spark, sf_dir), inputs.email_table(spark, sf_dir), keep_ids=True)
 
 
 def merge_sources(spark, sf_dir):
@@ -362,7 +365,7 @@ def _quality(spark, sf_dir):
     vectors = inputs.vectors(spark, sf_dir)
     centres = _centres(vectors).withColumnRenamed("cluster_id", "label")
     cost = cl.inertia(vectors, centres, "label", "x").scalar()
-    return cl.cluster_quality(vectors, cost, "vec_id", "label", "x")
+    return cl.cluster_quality(vectors, cost, "vec_id", "label", "x", exact=True)
 
 
 def cluster_quality(spark, sf_dir):
@@ -484,7 +487,7 @@ def kmeans_fit(spark, sf_dir):
 def k_sweep(spark, sf_dir):
     rows = _model_vectors(spark, sf_dir).persist()
     models = cl.fit_kmeans_many(rows, cl.sweep_values(range(2, 6), rows.count()))
-    return cl.k_sweep(rows, models, key="vec_id").select("k", rounded("inertia"), rounded("silhouette"))
+    return cl.k_sweep(rows, models, key="vec_id", exact=True).select("k", rounded("inertia"), rounded("silhouette"))
 
 
 def silhouette_fast(spark, sf_dir):
@@ -499,16 +502,13 @@ def svd_project(spark, sf_dir):
     coordinates, values = projection.svd_coordinates(inputs.vectors(spark, sf_dir), "vec_id", "x", 10)
     return coordinates.select("vec_id", F.posexplode("coords").alias("component", "value"))
 
-# Trees of the registered fits; the library defaults are 300 trees of unlimited depth.
-FOREST = dict(num_trees=20, max_depth=12)
-
 
 def _forest(spark, sf_dir):
     """A forest fitted on the training fold and the vectors of the test fold."""
     rows = sampling.stratified_split(materialised(_prepared(spark, sf_dir).drop("text"), "prepared"))
     rows = materialised(rows, "split")
     model = ve.FeatureModel.fit(rows.filter("fold = 'train'"))
-    forest = fit_forest(model.transform(rows.filter("fold = 'train'")), **FOREST)
+    forest = fit_forest(model.transform(rows.filter("fold = 'train'")))
     return model, forest, model.transform(rows.filter("fold = 'test'"))
 
 
@@ -523,7 +523,7 @@ def feature_importance(spark, sf_dir):
 
 
 def _fit(spark, sf_dir):
-    return training.fit(inputs.labelled(spark, sf_dir).drop("y"), restarts=3, **FOREST)
+    return training.fit(inputs.labelled(spark, sf_dir).drop("y"))
 
 
 def fit_summary(spark, sf_dir):
@@ -538,11 +538,9 @@ def predict_messages(spark, sf_dir):
 
 def run_report(spark, sf_dir):
     """Both sources merged, de-duplicated, fitted and reported."""
-    merged = _merged(spark, sf_dir)
-    deduped = materialised(
-        dedupe.dedupe_messages(merged).withColumn("msg_id", F.col("msg_id") * 2 + F.col("source_rank")), "deduped"
-    )
-    model, summary = training.fit(deduped, restarts=3, **FOREST)
+    merged = dedupe.merge_sources(inputs.sms_table(spark, sf_dir), inputs.email_table(spark, sf_dir))
+    deduped = materialised(dedupe.dedupe_messages(merged), "deduped")
+    model, summary = training.fit(deduped)
     views = reporting.cluster_views(model, deduped)
     report = reporting.run_report(merged, deduped, summary, views.report)
     reporting.export(views, report, scratch_path(spark, "report"))
