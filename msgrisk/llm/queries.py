@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, page_text, suffix_dedup, topk_search, toxicity
+from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, oracle, page_text, suffix_dedup, topk_search, toxicity
 from msgrisk.llm.tables import documents, fold, table
 
 
@@ -92,4 +92,4 @@ QUERIES = {
     "op9_language_id": op9_language_id,
     "op10_source_mixing": op10_source_mixing,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = dict(oracle.BODIES)
