@@ -7,17 +7,19 @@ A text is the set of its distinct `n`-word shingles. Two texts link if 100 * |A
 2. Rows with equal sets become one set. A set of size s sends its first s - ceil(percent * s / 100) + 1 shingles
    as postings; linked sets share one of them.
 3. Postings of a shingle stand in order of set size. Pairs pass the length filter (sizes), the positional filter
-   (what the places in both prefixes leave to share) and the suffix filter (shingles parted at fixed hash values:
-   differences of the part sizes bound the sets' difference), and are then verified once, on whole sets.
+   (what the places in both prefixes leave to share) and the suffix filter (shingles are parted at fixed hash
+   values; parts with an odd number in one set alone bound the sets' difference), and are then verified once, on
+   whole sets.
 4. Not all pairs of a group are looked at. Each round, every set proposes the candidate outside its component
-   that the part sizes put closest, among its neighbours in the order of each posting list and the list's first
-   set, so that a group of thousands of near copies merges by verifying about one pair a set and round. Then all
+   that the parts put closest, among its neighbours in the order of each posting list and the list's first set,
+   so that a group of thousands of near copies merges by verifying about one pair a set and round. Then all
    remaining pairs between different components are verified; pairs inside a component cannot change it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -26,10 +28,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from msgrisk.llm import sums
 from msgrisk.llm.components import components
 from msgrisk.llm.tables import stored
-from msgrisk.llm.tokens import Words, hash64, mix, owners, pieces, powers, raw, words
+from msgrisk.llm.tokens import Words, hash64, mix, owners, pieces, powers, words
 
 SKETCH_BITS = 20
-PARTS = 128
+PARTS = 512
 NEEDED_BITS = 22
 LINEAR_ROUNDS = 3
 _STEP = 0xD1B54A32D192ED03 | 1
@@ -85,7 +87,7 @@ def _sketch(docs: DataFrame, text_col: str, n: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int) -> DataFrame:
-    """Per row: its id, set signature, size, prefix and part sizes."""
+    """Per row: its id, set signature, size, prefix, and the parity of its members in each part as bits."""
     sketch = _sketch(docs, text_col, n)
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -98,40 +100,47 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
             of = owners(starts)
             head = np.arange(len(code)) - starts[:-1][of] < length[of]
             part = (code >> np.uint64(8)) % np.uint64(PARTS)
-            parts = np.minimum(255, np.bincount(of * PARTS + part.astype(np.int64), minlength=len(size) * PARTS)).astype(np.uint8)
+            odd = np.bincount(of * PARTS + part.astype(np.int64), minlength=len(size) * PARTS).astype(np.uint8) & 1
+            bits = np.packbits(odd).view(np.int64)
+            words_of = np.arange(0, len(bits) + 1, PARTS // 64, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 piece.column("id"), pa.array(_signature(code, starts).view(np.int64)), pa.array(size),
                 pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array(code[head].view(np.int64))),
-                pa.array([row.tobytes() for row in parts.reshape(-1, PARTS)], pa.binary()),
-            ], ["id", "sig", "size", "prefix", "parts"])
+                pa.ListArray.from_arrays(pa.array(words_of), pa.array(bits)),
+            ], ["id", "sig", "size", "prefix", "bits"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_col)
-    return rows.mapInArrow(run, f"id {kind}, sig bigint, size bigint, prefix array<bigint>, parts binary")
+    return rows.mapInArrow(run, f"id {kind}, sig bigint, size bigint, prefix array<bigint>, bits array<bigint>")
 
 
-def _whole_sets(docs: DataFrame, text_col: str, n: int, needed: DataFrame) -> DataFrame:
-    """sig and set (48 bits of each hash, sorted) of the needed sets. A bitmap of fixed size keeps most others from the shuffle."""
+def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame) -> DataFrame:
+    """sig and set (48 bits of each hash, sorted) of the needed sets (sig, least id of a row that has it).
+
+    A bitmap of ids of fixed size keeps most other rows from being read word by word; the join decides.
+    """
     mask = (1 << NEEDED_BITS) - 1
-    marks = needed.select(F.col("sig").bitwiseAND(mask).cast("int").alias("mark")).distinct().toArrow()["mark"].to_numpy()
+    mark = F.xxhash64(F.col("least").cast("string")).bitwiseAND(mask).cast("int")
+    marks = needed.select(mark.alias("mark")).distinct().toArrow()["mark"].to_numpy()  # 2 ** NEEDED_BITS at most
     bitmap = np.zeros(1 << NEEDED_BITS, bool)
     bitmap[marks] = True
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(shared.value).astype(bool)
-        sent: set[int] = set()
-        for piece in pieces(batches, text_col):
-            code, starts = _sets(words(piece.column(text_col)), n)
-            sig = _signature(code, starts).view(np.int64)
-            take = [k for k in np.flatnonzero(wanted[sig & mask]).tolist() if int(sig[k]) not in sent and not sent.add(int(sig[k]))]
-            short = code >> np.uint64(16)
-            packed = [
-                (short[starts[k]:starts[k + 1]] >> np.uint64(16)).astype(np.uint32).tobytes() + short[starts[k]:starts[k + 1]].astype(np.uint16).tobytes()
-                for k in take
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array(sig[take]), pa.array(packed, pa.binary())], ["sig", "members"])
-
-    sets = docs.select(text_col).mapInArrow(run, "sig bigint, members binary").join(needed, "sig", "left_semi")
+        for batch in batches:
+            some = batch.filter(pa.array(wanted[batch.column("mark").to_numpy()]))
+            for piece in pieces([some], "text"):
+                code, starts = _sets(words(piece.column("text")), n)
+                sig = _signature(code, starts).view(np.int64)
+                code = code >> np.uint64(16)
+                packed = [
+                    (code[x:y] >> np.uint64(16)).astype(np.uint32).tobytes() + code[x:y].astype(np.uint16).tobytes()
+                    for x, y in zip(starts[:-1], starts[1:])
+                ]
+                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(packed, pa.binary())], ["sig", "members"])
+
+    rows = docs.select(F.xxhash64(F.col(id_col).cast("string")).bitwiseAND(mask).cast("int").alias("mark"), F.col(text_col).alias("text"))
+    sets = rows.mapInArrow(run, "sig bigint, members binary").join(needed.select("sig"), "sig", "left_semi")
     return sets.groupBy("sig").agg(F.first("members").alias("members"))
 
 
@@ -158,56 +167,66 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a bigint, b bigint, linked boolean")
 
 
-def _passes(size: Column, place: Column, other_size: Column, other_place: Column, percent: int) -> Column:
-    """Length and positional filters."""
-    low, high = F.least(size, other_size), F.greatest(size, other_size)
-    most = F.least(place, other_place) + F.least(size - place, other_size - other_place)
-    return (low * 100 >= high * percent) & (most * (100 + percent) >= (size + other_size) * percent)
+def _apart(x: Column, y: Column) -> Column:
+    """Differing bits of two part bitmaps."""
+    return reduce(lambda a, b: a + b, [F.bit_count(x[k].bitwiseXOR(y[k])) for k in range(PARTS // 64)])
 
 
-def _suffix_filter(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b and apart (least possible size of the sets' difference per member) of pairs that can still link."""
-    a = sets.select(F.col("sig").alias("a"), F.col("size").alias("size_a"), F.col("parts").alias("parts_a"))
-    b = sets.select(F.col("sig").alias("b"), F.col("size").alias("size_b"), F.col("parts").alias("parts_b"))
-
-    def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, y = (raw(batch.column(c))[1].reshape(-1, PARTS).astype(np.int16) for c in ("parts_a", "parts_b"))
-            apart = np.abs(x - y).sum(1).astype(np.int64)
-            total = batch.column("size_a").to_numpy() + batch.column("size_b").to_numpy()
-            # Linked sets share percent * total / (100 + percent) members at least.
-            keep = np.flatnonzero(apart * (100 + percent) <= total * (100 - percent))
-            at = pa.array(keep)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").take(at), batch.column("b").take(at), pa.array(apart[keep] / total[keep])], ["a", "b", "apart"]
-            )
-
-    return pairs.join(a, "a").join(b, "b").mapInArrow(check, "a bigint, b bigint, apart double")
+def _passes(x, y, percent: int) -> Column:
+    """Length, positional and suffix filters for postings x and y of one shingle (functions from name to column)."""
+    total = x("size") + y("size")
+    length = F.least(x("size"), y("size")) * 100 >= F.greatest(x("size"), y("size")) * percent
+    most = F.least(x("place"), y("place")) + F.least(x("size") - x("place"), y("size") - y("place"))
+    # Linked sets share percent * total / (100 + percent) members at least; the rest makes their difference.
+    position = most * (100 + percent) >= total * percent
+    suffix = _apart(x("bits"), y("bits")) * (100 + percent) <= total * (100 - percent)
+    return (x("root") != y("root")) & length & position & suffix
 
 
 def _proposals(postings: DataFrame, percent: int, salt: int) -> DataFrame:
-    """(a, b): candidates between different components, from neighbours in each list's order and its first set.
+    """(a, b): for each set its closest candidates in other components: of all sets one before it in its lists, two
+    before it, and first of its lists.
 
     The order inside a size changes with the salt, so that rounds propose different pairs.
     """
     order = Window.partitionBy("shingle").orderBy("size", F.xxhash64("sig", F.lit(salt)), "sig")
-    me = F.struct("sig", "root", "size", "place")
-    near = postings.withColumn("prev", F.lag(me).over(order)).withColumn("head", F.first(me).over(order))
-    out = None
-    for other in ("prev", "head"):
-        o = lambda c: F.col(f"{other}.{c}")
-        ok = (o("root") != F.col("root")) & _passes(F.col("size"), F.col("place"), o("size"), o("place"), percent)
-        got = near.where(ok).select(F.least("sig", o("sig")).alias("a"), F.greatest("sig", o("sig")).alias("b"))
-        out = got if out is None else out.unionByName(got)
-    return out.distinct()
+    me = F.struct("sig", "root", "size", "place", "bits")
+    near = postings
+    for name, column in (("prev", F.lag(me, 1)), ("second", F.lag(me, 2)), ("head", F.first(me))):
+        near = near.withColumn(name, column.over(order))
 
+    def candidate(name: str) -> Column:
+        other = lambda c: F.col(f"{name}.{c}")
+        distance = _apart(F.col("bits"), other("bits")) / (F.col("size") + other("size"))
+        return F.when(_passes(F.col, other, percent), F.struct(distance.alias("apart"), other("sig").alias("other")))
 
-def _labelled(postings: DataFrame, links: DataFrame) -> DataFrame:
-    """Postings with the component of their set, of lists that still hold two components."""
-    roots = components(links, "a", "b")
-    named = postings.drop("root").join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
-    open_lists = named.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return named.join(open_lists.select("shingle"), "shingle", "left_semi")
+    names = ("prev", "second", "head")
+    best = near.select("sig", *(candidate(n).alias(n) for n in names)).groupBy("sig").agg(*(F.min(n).alias(n) for n in names))
+    proposed = best.select("sig", F.explode(F.array_compact(F.array(*names))).alias("c"))
+    return proposed.select(F.least("sig", "c.other").alias("a"), F.greatest("sig", "c.other").alias("b")).distinct()
+
+
+def _crossing(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all candidates between different components."""
+    spread = postings.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    held = postings.join(spread.select("shingle"), "shingle", "left_semi")
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    both = held.alias("x").join(held.alias("y"), (x("shingle") == y("shingle")) & (x("sig") < y("sig")) & _passes(x, y, percent))
+    return both.select(x("sig").alias("a"), y("sig").alias("b")).distinct()
+
+
+def _hooked(links: DataFrame) -> DataFrame:
+    """node and root: every set's least neighbour or itself, followed once more. Part of a component, at little cost."""
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
+    further = least.select(F.col("a").alias("root"), F.col("root").alias("next"))
+    return least.join(further, "root").select(F.col("a").alias("node"), F.col("next").alias("root"))
+
+
+def _labelled(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings with the component of their set."""
+    named = postings.drop("root").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
+    return named.withColumn("root", F.coalesce("root", "sig"))
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
@@ -218,38 +237,29 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     """
     rows = stored(_prefixes(docs, id_col, text_col, n, percent), "ngram-rows")
     sets = stored(
-        rows.where("size > 0").groupBy("sig", "size").agg(F.min("id").alias("least"), F.first("prefix").alias("prefix"), F.first("parts").alias("parts")),
+        rows.where("size > 0").groupBy("sig", "size").agg(F.min("id").alias("least"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
         "ngram-sets",
     )
-    listed = sets.select("sig", F.col("sig").alias("root"), "size", F.posexplode("prefix").alias("place", "shingle"))
+    listed = sets.select("sig", "size", F.posexplode("prefix").alias("place", "shingle"))
     order = Window.partitionBy("shingle").orderBy("size", "sig")
     linked_list = F.lag("sig").over(order).isNotNull() | F.lead("sig").over(order).isNotNull()
-    postings = stored(listed.withColumn("shared", linked_list).where("shared").drop("shared"), "ngram-postings")
-    whole = stored(_whole_sets(docs, text_col, n, postings.select("sig").distinct()), "ngram-whole")
-    shapes = sets.select("sig", "size", "parts")
+    shared = listed.withColumn("shared", linked_list).where("shared").drop("shared")
+    postings = stored(shared.join(sets.select("sig", "bits", F.col("sig").alias("root")), "sig"), "ngram-postings")
     done = links = None
     todo = postings
     for k in range(LINEAR_ROUNDS + 1):
-        if k < LINEAR_ROUNDS:
-            pairs = _proposals(todo, percent, k)
-        else:
-            x, y = todo.alias("x"), todo.alias("y")
-            ok = (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.sig") < F.col("y.sig")) & (F.col("x.root") != F.col("y.root"))
-            ok &= _passes(F.col("x.size"), F.col("x.place"), F.col("y.size"), F.col("y.place"), percent)
-            pairs = x.join(y, ok).select(F.col("x.sig").alias("a"), F.col("y.sig").alias("b")).distinct()
+        pairs = _proposals(todo, percent, k) if k < LINEAR_ROUNDS else _crossing(todo, percent)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = _suffix_filter(pairs, shapes, percent)
-        if k < LINEAR_ROUNDS:
-            # Every set keeps the proposal that looks closest.
-            ends = pairs.select("a", "b", "apart", F.explode(F.array("a", "b")).alias("from"))
-            best = ends.groupBy("from").agg(F.min(F.struct("apart", "a", "b")).alias("p"))
-            pairs = best.select("p.a", "p.b").distinct()
+        pairs = stored(pairs.select("a", "b"), "ngram-pairs")
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
+        whole = stored(_whole_sets(docs, id_col, text_col, n, sets.select("sig", "least").join(ends, "sig")), "ngram-whole")
         checked = stored(_verify(pairs, whole, percent), "ngram-checked")
         done = checked if done is None else done.unionByName(checked)
         links = done.where("linked").select("a", "b")
         if k < LINEAR_ROUNDS:
-            todo = stored(_labelled(postings, links), "ngram-open")
+            roots = _hooked(links) if k == 0 else components(links, "a", "b")
+            todo = stored(_labelled(postings, roots), "ngram-open")
     roots = components(links, "a", "b").withColumnRenamed("node", "sig")
     named = sets.select("sig", "least").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
