@@ -27,14 +27,14 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from msgrisk.llm.tables import stored
 from msgrisk.llm.tokens import mix, pieces, raw
+from msgrisk.session import scratch_path
 
 LENGTH, ANCHOR = 50, 20
 SIDE = LENGTH - ANCHOR
 CONTEXT = ANCHOR + 2 * SIDE
 SHALLOW = 16
-PIECE, RUN, STRINGS = 2 << 20, 1 << 18, 1 << 18
+RUN, STRINGS = 1 << 18, 1 << 16
 _A, _B, _C, _D = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
@@ -66,12 +66,12 @@ def anchors(data: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def anchor_hash(data: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """48-bit hash of the anchor at each position."""
+    """40-bit hash of the anchor at each position."""
     h = np.zeros(len(at), np.uint64)
     for low in (0, 8, ANCHOR - 8):
         if len(at):
             h = mix(h * _B + np.ascontiguousarray(data[at[:, None] + np.arange(low, low + 8)]).view(np.uint64).ravel())
-    return h >> np.uint64(16)
+    return h >> np.uint64(24)
 
 
 def contexts(data: np.ndarray, starts: np.ndarray, at: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -151,7 +151,7 @@ def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """k (id and text in 64 bits), id (null: least) and z, the compressed bytes."""
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=1, write_content_size=True)
+        press = zstandard.ZstdCompressor(level=3, write_content_size=True)
         for piece in pieces(batches, "text"):
             z = [press.compress(t.encode()) if t else None for t in piece.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([piece.column("k"), piece.column("id"), pa.array(z, pa.binary())], ["k", "id", "z"])
@@ -187,7 +187,7 @@ def _shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             for a, b in zip(bounds[:-1], bounds[1:]):
                 used, place = np.unique(of[a:b], return_inverse=True)
                 c = code[a:b]
-                hashes = (c >> np.uint64(16)).astype(np.uint32).tobytes() + c.astype(np.uint16).tobytes()
+                hashes = (c >> np.uint64(8)).astype(np.uint32).tobytes() + c.astype(np.uint8).tobytes()
                 rows.append((int(bucket[a]), hashes, place.astype(np.uint32 if len(used) > 65536 else np.uint16).tobytes(), keys[used].tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names)
 
@@ -196,8 +196,8 @@ def _shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for batch in batches:
             for hashes, places, keys in zip(*(batch.column(c) for c in names[1:])):
                 hashes, keys = hashes.as_buffer(), np.frombuffer(keys.as_buffer(), np.int64)
-                n = len(hashes) // 6
-                codes.append(np.frombuffer(hashes, np.uint32, n).astype(np.uint64) << np.uint64(16) | np.frombuffer(hashes, np.uint16, n, 4 * n))
+                n = len(hashes) // 5
+                codes.append(np.frombuffer(hashes, np.uint32, n).astype(np.uint64) << np.uint64(8) | np.frombuffer(hashes, np.uint8, n, 4 * n))
                 places = places.as_buffer()
                 docs_of.append(keys[np.frombuffer(places, np.uint16 if len(places) == 2 * n else np.uint32)])
         code, doc = np.concatenate(codes), np.concatenate(docs_of)
@@ -337,7 +337,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     buckets = 2 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     codes = _shared_hashes(docs, id_col, text_col)
     once = packed.where("z is not null").join(codes, "k")
-    sent = stored(_send_contexts(once, buckets), "suffix-contexts")
+    path = scratch_path(docs.sparkSession, "suffix-contexts")
+    _send_contexts(once, buckets).write.option("compression", "zstd").parquet(path)
+    sent = docs.sparkSession.read.schema(_OUT).parquet(path)
     spans = sent.where("bucket < 0").select("k", "at", "size").unionByName(
         sent.where("bucket >= 0").groupBy("bucket").applyInArrow(_compare, "k bigint, at bigint, size int")
     )
