@@ -71,7 +71,7 @@ def csv_bad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     numbered = lines.withColumn("file", F.spark_partition_id()).select("file", F.lit(1).alias("at"), "value")
     headings = numbered.select("file").distinct().select("file", F.lit(0).alias("at"), F.lit("v1,v2").alias("value"))
     rows = headings.unionByName(numbered).repartition("file").sortWithinPartitions("file", "at")
-    rows.write.partitionBy("file").text(path)
+    rows.select("file", "value").write.partitionBy("file").text(path)
     return read_csv(spark, path).select("v1", F.md5("v2").alias("v2_md5"))
 
 
