@@ -11,7 +11,7 @@ about two positions in LENGTH - ANCHOR + 2 are anchors.
    sorted as suffixes, deep-shallow: a multikey quicksort on 8-byte words to SHALLOW bytes, then, for groups that
    still share their prefix, blind tries, which compare every string with the first of its group only, branch at
    the first different byte, and never look at shared bytes again. Leaves of equal windows keep the least document;
-   the windows of the others are repeats.
+   the windows of the others are repeats, in every place where their document has the same context.
 4. The spans of a document are merged and cut out of its bytes.
 
 Texts travel compressed. Hashes only propose; contexts and windows are compared as bytes.
@@ -293,7 +293,10 @@ def _compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> I
     repeat = np.flatnonzero(ids[lead] < ids)
     long = repeat[(left + right + ANCHOR)[repeat] >= LENGTH]
     found(long, (at - left)[long], (at + ANCHOR + right)[long])
-    # One of each context is left; anchors with one context are done.
+    # One of each context is left, and stands for the equal ones of its document; anchors with one context are done.
+    twins = np.flatnonzero(ids[lead] == ids)
+    twins = twins[np.argsort(lead[twins], kind="stable")]
+    stands = lead[twins]
     rest = np.flatnonzero(lead == np.arange(len(lead)))
     _, anchor = np.unique(_rows_hash(rows[rest, SIDE:SIDE + ANCHOR]), return_inverse=True)
     many = np.bincount(anchor)[anchor] > 1
@@ -322,7 +325,12 @@ def _compare(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> I
         new = np.r_[True, (mine[1:] != mine[:-1]) | (low[1:] != low[:-1] + 1)] if len(low) else np.zeros(0, bool)
         first = np.flatnonzero(new)
         last = np.r_[first[1:], len(low)] - 1 if len(first) else first
-        found(mine[first], low[first], low[last] + LENGTH)
+        low, high, mine = low[first], low[last] + LENGTH, mine[first]
+        begin = np.searchsorted(stands, mine)
+        n = np.searchsorted(stands, mine, side="right") - begin
+        which = twins[np.repeat(begin - np.cumsum(n) + n, n) + np.arange(n.sum())]
+        shift = at[which] - np.repeat(at[mine], n)
+        found(which, np.repeat(low, n) + shift, np.repeat(high, n) + shift)
     yield from out
 
 

@@ -95,6 +95,14 @@ def test_suffix_dedup(make_docs):
     assert sorted(tuple(r) for r in got) == brute_repeats(rows)
 
 
+def test_suffix_dedup_of_a_text_that_repeats_itself(make_docs):
+    rng = random.Random(11)
+    line, other = ("".join(rng.choice("abcdefghij klmnop") for _ in range(60)) for _ in range(2))
+    rows = [(3, f"start {line} end"), (5, f"{line}\n" * 5), (5, f"{line}\n" * 7 + "more"), (6, None), (8, f"{other}\n" * 5), (7, other), (9, f"{other}\n" * 5)]
+    got = suffix_dedup.remove_repeats(make_docs(rows)).collect()
+    assert sorted(tuple(r) for r in got) == brute_repeats(rows)
+
+
 def test_suffix_dedup_odd(odd, empty):
     got = suffix_dedup.remove_repeats(odd, with_text=True).collect()
     assert len(got) == odd.count() and all(r.n_removed == 0 for r in got)
