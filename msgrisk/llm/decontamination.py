@@ -3,10 +3,13 @@
 Words of benchmark items and documents become template words: numbers, names (capitalised words inside a
 sentence) and units after a number turn into typed placeholders, all other words are lower-cased and stripped
 of punctuation. Windows of WINDOW template words (whole items where they are shorter) are hashed and joined by
-hash. Matches of a document with an item are lined up by the distance between their positions; along such a
-line the values in the slots must map one to one, so that a question with other numbers or names is caught and
-a chance mixture is not. A document holds an item if the lined-up windows cover COVERAGE of its words, or
-RUN_WORDS words in a row.
+hash. Beside typed words, windows come in a form with names as plain words, for copies in other case, and in forms
+with a run of equal placeholders as one slot, for values of several words. Matches of a document with an item are
+lined up by the distance between their positions; along such a line the values in the slots must map one to one,
+so that a question with other numbers or names is caught and a chance mixture is not. Pieces of several lines, as
+inserted and dropped words leave them, add up if they keep the item's order, agree in their slots and stand no
+further apart than the item is long. A document holds an item if the pieces cover COVERAGE of its words, or one
+piece RUN_WORDS words in a row. Fewer than WINDOW unbroken tokens of a longer item are no evidence.
 
 The benchmark is a stated query set taken against all rows, in blocks of BLOCK_WINDOWS windows: each block is
 broadcast, whatever the size of the benchmark, and all documents pass over it.
@@ -17,6 +20,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -94,67 +98,185 @@ def _windows(code: np.ndarray, starts: np.ndarray, n: int) -> tuple[np.ndarray,
     return hashes[at], at
 
 
+class _Form(NamedTuple):
+    """Tokens of texts in one form: codes, first word and number of words of each, and first token of each text, and the end.
+
+    told: tokens by which windows differ from those of the forms before; windows without one are left out.
+    """
+
+    code: np.ndarray
+    word: np.ndarray
+    width: np.ndarray
+    starts: np.ndarray
+    told: list[np.ndarray]
+
+
+def _forms(code: np.ndarray, kind: np.ndarray, folded: np.ndarray, starts: np.ndarray) -> list[_Form]:
+    """Typed words; names as plain words in any case; and both with runs of one placeholder as one slot."""
+    place, ones = np.arange(len(code)), np.ones(len(code), np.int64)
+    name = kind == NAME
+    plain = np.where(name, folded, code)
+    out = [_Form(code, place, ones, starts, [])]
+    if name.any():
+        out.append(_Form(plain, place, ones, starts, [name]))
+    begins = np.zeros(len(code) + 1, bool)
+    begins[starts] = True
+    for codes, slot in ((code, kind != WORD), (plain, (kind != WORD) & ~name)):
+        joined = np.zeros(len(code), bool)
+        joined[1:] = slot[1:] & (kind[1:] == kind[:-1]) & ~begins[1:-1]
+        if not joined.any():
+            continue
+        word = np.flatnonzero(~joined)
+        width = np.diff(np.r_[word, len(code)])
+        out.append(_Form(codes[word], word, width, np.searchsorted(word, starts), [width > 1] + ([name[word]] if codes is plain else [])))
+    return out
+
+
+def _told(form: _Form, at: np.ndarray, n: int) -> np.ndarray:
+    """Whether the windows of n tokens at `at` have a token of each kind that tells the form from others."""
+    keep = np.ones(len(at), bool)
+    for flags in form.told:
+        sums = np.r_[0, np.cumsum(flags)]
+        keep &= sums[at + n] > sums[at]
+    return keep
+
+
 class _Items:
-    """A block of benchmark items: sorted window hashes with item and position, and the items' words."""
+    """A block of benchmark items: sorted window hashes with item, form and position, and the items' words."""
 
     def __init__(self, ids: list, texts: list):
         found, code, kind, plain, coded = templates(pa.array(texts, pa.string()))
         self.ids, self.starts, self.kind = ids, found.starts, kind
         self.plain = [coded.dictionary[int(k)].as_py() for k in plain]
         self.sizes = np.diff(found.starts)
+        self.forms = _forms(code, kind, hash64(coded.dictionary)[plain] if len(plain) else code, found.starts)
         parts = defaultdict(list)
-        for item, size in enumerate(self.sizes.tolist()):
-            if size >= SHORTEST_ITEM:
-                n = min(WINDOW, size)
-                span = code[found.starts[item]:found.starts[item + 1]]
-                got = rolling(span, n)
-                parts[n].append((got, np.full(len(got), item), np.arange(len(got))))
+        for f, form in enumerate(self.forms):
+            for item, size in enumerate(np.diff(form.starts).tolist()):
+                if size >= SHORTEST_ITEM:
+                    n = min(WINDOW, size)
+                    got = rolling(form.code[form.starts[item]:form.starts[item + 1]], n)
+                    at = form.starts[item] + np.arange(len(got))
+                    keep = _told(form, at, n)
+                    parts[n].append((got[keep], np.full(int(keep.sum()), item), np.full(int(keep.sum()), f), at[keep]))
         self.by_length = {}
         for n, rows in parts.items():
-            hashes, item, at = (np.concatenate(x) for x in zip(*rows))
+            hashes, item, form, at = (np.concatenate(x) for x in zip(*rows))
             order = np.argsort(hashes, kind="stable")
             seen = np.zeros(1 << _FILTER_BITS, bool)
             seen[(hashes & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)] = True
-            self.by_length[n] = hashes[order], item[order], at[order], seen
+            self.by_length[n] = hashes[order], item[order], form[order], at[order], seen
+
+
+class _Slots:
+    """Values of an item's slots and a document's, one to one."""
+
+    def __init__(self, there: dict | None = None, back: dict | None = None):
+        self.there, self.back = there or {}, back or {}
+
+    def fit(self, pairs: Iterable[tuple]) -> bool:
+        return all(self.there.get(a, b) == b and self.back.get(b, a) == a for a, b in pairs)
+
+    def add(self, pairs: Iterable[tuple]) -> None:
+        for a, b in pairs:
+            self.there[a], self.back[b] = b, a
+
+
+class _Piece(NamedTuple):
+    """Words of a document from low to high that are words of an item from first to last; slots as (item's word, values)."""
+
+    low: int
+    high: int
+    first: int
+    last: int
+    pairs: frozenset
+
+
+def _line(items: _Items, ours: _Form, theirs: _Form, plain: np.ndarray, shift: int, windows: list[tuple[int, int]]) -> list[_Piece]:
+    """Unbroken pieces of the windows (item's token, number of tokens) at one shift that share one map of slots."""
+    slots, taken = _Slots(), []
+    for at, n in sorted(set(windows)):
+        pairs, where = set(), set()
+        for k in range(at, at + n):
+            kind = int(items.kind[theirs.word[k]])
+            if kind != WORD:
+                a, b = int(theirs.word[k]), int(ours.word[k + shift])
+                value = tuple(items.plain[a:a + int(theirs.width[k])]), tuple(plain[b:b + int(ours.width[k + shift])].tolist())
+                pairs.add(((kind, value[0]), (kind, value[1])))
+                where.add((a, ((kind, value[0]), (kind, value[1]))))
+        if slots.fit(pairs) and len({a for a, _ in pairs}) == len({b for _, b in pairs}) == len(pairs):
+            slots.add(pairs)
+            if taken and at <= taken[-1][1]:
+                taken[-1] = taken[-1][0], max(taken[-1][1], at + n), taken[-1][2] | where
+            else:
+                taken.append((at, at + n, where))
+    return [
+        _Piece(
+            int(ours.word[a + shift]), int(ours.word[b - 1 + shift] + ours.width[b - 1 + shift]),
+            int(theirs.word[a]), int(theirs.word[b - 1] + theirs.width[b - 1]), frozenset(where),
+        )
+        for a, b, where in taken
+    ]
+
+
+def _chain(found: list[_Piece], size: int) -> tuple[int, int, int]:
+    """Most item words of pieces in one order, no more than `size` words apart: words, first document word, longest piece."""
+    found = sorted(set(found), key=lambda p: p[:4])
+    states: list[tuple[int, int, int, _Slots]] = []
+    for j, now in enumerate(found):
+        best, before, mine = (now.last - now.first, now.low, now.last - now.first), None, [pair for _, pair in now.pairs]
+        for i in range(j - 1, -1, -1):
+            old = found[i]
+            if old.low < now.low - 3 * size:
+                break
+            if not (old.low < now.low and old.high < now.high and old.first < now.first and old.last < now.last) or now.low - old.high > size:
+                continue
+            # Words that both pieces have count once, on either side, and so do their slots.
+            fresh = now.last - now.first - max(0, old.last - now.first, old.high - now.low)
+            total = states[i][0] + fresh
+            if fresh > 0 and total > best[0]:
+                rest = [pair for word, pair in now.pairs if word >= now.last - fresh]
+                if states[i][3].fit(rest):
+                    best, before, mine = (total, states[i][1], max(states[i][2], now.last - now.first)), states[i][3], rest
+        slots = _Slots(dict(before.there), dict(before.back)) if before else _Slots()
+        slots.add(mine)
+        states.append((*best, slots))
+    return max(states, key=lambda s: s[0])[:3]
 
 
 def _matches(items: _Items, texts: pa.Array) -> list[tuple[int, int, int, int, int]]:
     """(text, item, first matching word, covered words, longest run) of every text that holds an item."""
     found, code, kind, plain, coded = templates(texts)
     of = owners(found.starts)
-    lines = defaultdict(list)
-    for n, (hashes, item, at, seen) in items.by_length.items():
-        got, where = _windows(code, found.starts, n)
-        hit = seen[(got & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)]
-        got, where = got[hit], where[hit]
-        low, high = np.searchsorted(hashes, got), np.searchsorted(hashes, got, side="right")
-        for k in np.flatnonzero(high > low).tolist():
-            for j in range(low[k], high[k]):
-                lines[int(of[where[k]]), int(item[j]), int(where[k]) - int(at[j])].append((int(at[j]), n))
-    out = {}
-    for (text, item, shift), windows in sorted(lines.items()):
-        there, back = {}, {}
-        covered = np.zeros(int(items.sizes[item]), bool)
-        for at, n in windows:
-            pairs = []
-            for k in range(at, at + n):
-                theirs = int(items.starts[item]) + k
-                if items.kind[theirs] != WORD:
-                    slot = int(items.kind[theirs])
-                    pairs.append(((slot, items.plain[theirs]), (slot, int(plain[k + shift]))))
-            if all(there.get(a, b) == b and back.get(b, a) == a for a, b in pairs) and len({a for a, _ in pairs}) == len({b for _, b in pairs}):
-                there.update(pairs)
-                back.update((b, a) for a, b in pairs)
-                covered[at:at + n] = True
-        total = int(covered.sum())
-        edges = np.flatnonzero(np.diff(np.r_[0, covered.astype(np.int8), 0]))
-        run = int((edges[1::2] - edges[::2]).max()) if total else 0
-        if total >= COVERAGE * len(covered) and total or run >= RUN_WORDS:
-            first = shift + int(covered.argmax()) - int(found.starts[text])
-            best = out.get((text, item))
-            if best is None or total > best[1]:
-                out[text, item] = (first, total, run)
-    return [(*key, *value) for key, value in out.items()]
+    forms = _forms(code, kind, hash64(coded.dictionary)[plain] if len(plain) else code, found.starts)
+    lines = defaultdict(lambda: defaultdict(list))
+    for n, (hashes, item, form, at, seen) in items.by_length.items():
+        for f, ours in enumerate(forms):
+            got, where = _windows(ours.code, ours.starts, n)
+            hit = seen[(got & np.uint64((1 << _FILTER_BITS) - 1)).astype(np.int64)]
+            got, where = got[hit], where[hit]
+            hit = _told(ours, where, n)
+            got, where = got[hit], where[hit]
+            low, high = np.searchsorted(hashes, got), np.searchsorted(hashes, got, side="right")
+            for k in np.flatnonzero(high > low).tolist():
+                text = int(of[ours.word[where[k]]])
+                for j in range(low[k], high[k]):
+                    lines[text, int(item[j])][f, int(form[j]), int(where[k]) - int(at[j])].append((int(at[j]), n))
+    out = []
+    for (text, item), by_shift in sorted(lines.items()):
+        size, every, best, run = int(items.sizes[item]), [], (0, 0), 0
+        for (f, form, shift), windows in sorted(by_shift.items()):
+            line = _line(items, forms[f], items.forms[form], plain, shift, windows)
+            every += line
+            if line:
+                best = max(best, (sum(p.last - p.first for p in line), -line[0].low))
+                run = max(run, *(p.last - p.first for p in line), 0)
+        if best[0] < size and len(every) > 1:
+            total, low, _ = _chain(every, size)
+            best = max(best, (total, -low))
+        if best[0] and (best[0] >= COVERAGE * size or run >= RUN_WORDS):
+            out.append((text, item, -best[1] - int(found.starts[text]), best[0], run))
+    return out
 
 
 def item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[tuple[list, list]]:

@@ -141,6 +141,26 @@ def test_decontamination(spark, make_docs, odd, empty):
     assert decontamination.find_leaks(docs, bench.where("item_id > 9")).count() == 0
 
 
+def test_decontamination_of_changed_copies(spark, make_docs):
+    rng = random.Random(12)
+    long = [f"q{rng.randrange(10_000)}x" for _ in range(40)]
+    question = "When does Tom with his 25 apples reach Anna and her 30 pears on his old red bicycle ?".split()
+    german = "der alte Hund sieht das kleine Haus hinter dem grünen Wald und bellt die Katze an".split()
+    items = [(1, " ".join(long)), (2, " ".join(question)), (3, " ".join(german))]
+    longer = " ".join(w + " extra" * (k % 12 == 11) for k, w in enumerate(long))
+    shorter = " ".join(w for k, w in enumerate(long) if k % 10 != 9)
+    value = {"Tom": "Mary Ann", "25": "twenty five", "Anna": "Jo Lee Kim", "30": "seventy"}
+    far = " ".join(long[:12] + [f"z{k}" for k in range(200)] + long[12:20])
+    docs = make_docs([
+        (1, f"lead {longer} tail"), (2, f"lead {shorter} tail"), (3, " ".join(value.get(w, w) for w in question)),
+        (4, " ".join(german).lower()), (5, " ".join(german).upper()), (6, "so " + " ".join(long[12:20] + ["and"] + long[:12])), (7, far),
+    ])
+    got = {(r.doc_id, r.item_id): r for r in decontamination.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert sorted(got) == [(1, 1), (2, 1), (3, 2), (4, 3), (5, 3)]
+    assert (got[1, 1].first_word, got[1, 1].n_words, got[1, 1].n_covered, got[1, 1].longest_run) == (1, 40, 36, 12)
+    assert (got[2, 1].n_covered, got[2, 1].longest_run) == (36, 9) and got[3, 2].n_covered == got[3, 2].n_words
+
+
 def test_decontamination_in_blocks(spark, make_docs, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_WINDOWS", 30)
     rng = random.Random(3)
