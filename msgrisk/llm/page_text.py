@@ -4,6 +4,11 @@ A page is read as a sequence of text blocks, each with the path of tags from the
 text length, punctuation, link text and number of blocks are added up. The ratios of a path (text per block,
 punctuation per block, share of text outside links) are smoothed over the sequence of blocks, fused with what
 the names on the path say, and thresholded: a path is content or it is not, whatever the length of a block.
+
+Names are a prior of at most NAMED, about what the ratios reach. An element's name counts against it by the share
+of the page's running text (punctuated or long, outside links) that lies outside of it, so a wrapper of the whole text is
+not believed; nav, footer and the like, which wrap no text of a page, count in full. article and main count by the
+share that lies inside. Only hidden elements are out in any case.
 """
 
 from __future__ import annotations
@@ -23,9 +28,10 @@ from msgrisk.llm.tokens import pieces
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q rp rt ruby s samp small "
-    "span strike strong sub sup time tt u var wbr".split()
+    "span strike strong sub sup time tt u var wbr math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup munder mover "
+    "munderover mmultiscripts mprescripts mtable mtr mtd mstyle mspace mpadded mphantom merror menclose mfenced semantics".split()
 )
-RAW = frozenset("script style noscript template textarea title iframe svg math object xmp noembed noframes".split())
+RAW = frozenset("script style template textarea title iframe svg xmp noembed noframes annotation annotation-xml".split())
 # A start tag of the key ends an open element of the values, up to the nearest of SCOPE.
 ENDED_BY = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
@@ -33,6 +39,7 @@ ENDED_BY = {
 }
 SCOPE = frozenset("html body article main section div td th table ul ol dl blockquote aside nav header footer form".split())
 BOILERPLATE_TAGS = frozenset("head nav footer aside form button select menu dialog fieldset".split()) | RAW
+FIRM_TAGS = frozenset("nav footer button select menu dialog".split())  # never wrap the text of a page
 CONTENT_TAGS = frozenset(("article", "main"))
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar navigation "
@@ -51,17 +58,21 @@ _NAME = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*["']?true|display\s*:\s*none""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 _PUNCTUATION = re.compile(r"[.,;:!?…。，、؛؟¿¡]")
+_SELF_CLOSED = re.compile(r"""(?:^|["'\s])/$""")
 _SMOOTHING = (0.25, 0.5, 0.25)
 THRESHOLD = 0.0
+NAMED, CONTENT, NEUTRAL = 5.0, 1.0, 0.7
 
 
 def _verdict(tag: str, attributes: str, inside: int) -> int:
-    """-1 boilerplate, 1 content, 0 unknown, from one element's names."""
-    if tag in BOILERPLATE_TAGS or tag == "header" and inside <= 0:
+    """-3 not shown, -2 boilerplate whatever its share, -1 boilerplate, 1 content, 0 unknown, from one element's names. Names of html and body say nothing."""
+    if tag == "head" or attributes and _HIDDEN.search(attributes):
+        return -3
+    if tag in FIRM_TAGS:
+        return -2
+    if tag in BOILERPLATE_TAGS and (tag != "header" or not inside):
         return -1
-    if attributes:
-        if _HIDDEN.search(attributes):
-            return -1
+    if attributes and tag not in ("html", "body"):
         for kind, *values in _NAME.findall(attributes):
             value = next(filter(None, values), "").lower()
             if kind.lower() == "role":
@@ -72,10 +83,17 @@ def _verdict(tag: str, attributes: str, inside: int) -> int:
     return 1 if tag in CONTENT_TAGS else 0
 
 
-def blocks(page: str) -> list[tuple[str, int, str, int]]:
-    """(path, structural verdict, text, characters inside links) of every non-empty block, in page order."""
-    stack: list[tuple[str, int]] = []  # tag, verdict so far
-    out: list[tuple[str, int, str, int]] = []
+Named = tuple[tuple[int, int], ...]
+
+
+def blocks(page: str) -> list[tuple[str, Named, str, int]]:
+    """(path, elements around it whose names say something, text, characters inside links) of every non-empty block.
+
+    Blocks are in page order; a named element is its number and its verdict.
+    """
+    stack: list[tuple[str, Named]] = []
+    out: list[tuple[str, Named, str, int]] = []
+    numbered = 0
     parts: list[str] = []
     linked = links = 0
     at, end, search = 0, len(page), _TAG.search
@@ -86,7 +104,7 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
             text = " ".join("".join(parts).split())
             if text:
                 path = "/".join(tag for tag, _ in stack if tag not in INLINE)
-                out.append((path, stack[-1][1] if stack else 0, text, min(linked, len(text))))
+                out.append((path, stack[-1][1] if stack else (), text, min(linked, len(text))))
             parts.clear()
         linked = 0
 
@@ -131,46 +149,73 @@ def blocks(page: str) -> list[tuple[str, int, str, int]]:
                     break
         if tag in VOID:
             continue
+        if tag in ("svg", "math") and _SELF_CLOSED.search(attributes):
+            continue
         if tag in RAW:
             stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
             at = stop.end() if stop else end
             continue
-        over = stack[-1][1] if stack else 0
-        stack.append((tag, over if over < 0 else (_verdict(tag, attributes, over) or over)))
+        over = stack[-1][1] if stack else ()
+        verdict = _verdict(tag, attributes, any(v > 0 for _, v in over))
+        numbered += 1
+        stack.append((tag, (*over, (numbered, verdict)) if verdict else over))
         links += tag == "a"
     close()
     return out
 
 
-def content_paths(found: list[tuple[str, int, str, int]]) -> list[bool]:
+def _priors(found: list[tuple[str, Named, str, int]]) -> dict[Named, float]:
+    """What the names around blocks say: above 0 for content."""
+    mean = sum(len(block[2]) for block in found) / max(1, len(found))
+    running = [(len(text) - linked) * bool(len(text) > mean or _PUNCTUATION.search(text)) for _, _, text, linked in found]
+    if not any(running):
+        running = [len(text) - linked for _, _, text, linked in found]
+    held: dict[int, float] = {}
+    total = marked = 0
+    for (_, names, _, _), size in zip(found, running):
+        if any(v == -3 for _, v in names):
+            continue
+        total += size
+        marked += size * any(v > 0 for _, v in names)
+        for number, _ in names:
+            held[number] = held.get(number, 0) + size
+    share = marked / total if total else 0.0
+    out = {}
+    for names in {block[1] for block in found}:
+        against = max((1 - held.get(number, 0) / total if total and v == -1 else 1.0 for number, v in names if v < 0), default=0.0)
+        inside = any(v > 0 for _, v in names)
+        favour = CONTENT + (NAMED - CONTENT) * share if inside else NEUTRAL - NAMED * share
+        out[names] = -math.inf if any(v == -3 for _, v in names) else min(favour, NEUTRAL) - NAMED * against if against else favour
+    return out
+
+
+def content_paths(found: list[tuple[str, Named, str, int]]) -> list[bool]:
     """For every block, whether its path is content."""
-    totals: dict[tuple[str, int], list[float]] = {}
-    for path, verdict, text, linked in found:
-        sums = totals.setdefault((path, verdict), [0, 0, 0, 0])
+    priors = _priors(found)
+    totals: dict[tuple[str, Named], list[float]] = {}
+    for path, names, text, linked in found:
+        sums = totals.setdefault((path, names), [0, 0, 0, 0])
         sums[0] += len(text)
         sums[1] += len(_PUNCTUATION.findall(text))
         sums[2] += linked
         sums[3] += 1
-    free = [k for k in totals if k[1] >= 0]
-    mean = sum(totals[k][0] for k in free) / max(1, sum(totals[k][3] for k in free))
-    marked = any(k[1] > 0 for k in free)
+    shown = [k for k in totals if priors[k[1]] > -math.inf]
+    mean = sum(totals[k][0] for k in shown) / max(1, sum(totals[k][3] for k in shown))
     ratio = {}
     for key in totals:
         length, marks, linked, n = totals[key]
         # Text and punctuation per block against the page's mean block, and text outside links.
-        fused = math.log((length / n + 1) / (mean + 1)) + 0.5 * math.log1p(marks / n) - 3.0 * (linked / length > 0.5)
+        fused = min(2.0, max(-2.0, math.log((length / n + 1) / (mean + 1)))) + 0.5 * math.log1p(marks / n) - 3.0 * (linked / length > 0.5)
         ratio[key] = fused
     series = [ratio[b[0], b[1]] for b in found]
-    smooth: dict[tuple[str, int], list[float]] = {}
+    smooth: dict[tuple[str, Named], list[float]] = {}
     for k, block in enumerate(found):
         near = [series[j] if 0 <= j < len(series) else series[k] for j in (k - 1, k, k + 1)]
         smooth.setdefault((block[0], block[1]), []).append(sum(w * x for w, x in zip(_SMOOTHING, near)))
     keep = {}
     for key, values in smooth.items():
         evidence = 0.5 * (ratio[key] + sum(values) / len(values))
-        # Names on the path outweigh ratios, so that a short paragraph of an article stays.
-        structure = -1e9 if key[1] < 0 else 20.0 if key[1] > 0 else -20.0 if marked else 0.7
-        keep[key] = evidence + structure > THRESHOLD
+        keep[key] = evidence + priors[key[1]] > THRESHOLD
     return [keep[b[0], b[1]] for b in found]
 
 

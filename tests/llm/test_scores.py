@@ -123,6 +123,26 @@ def test_page_text(spark):
         page_text.extract(frame.withColumnRenamed("url", "text"))
 
 
+def test_page_text_against_its_names():
+    body = "".join(f"<p>Part {k} of it is a long text, with commas, and it goes on for a while; then it ends.</p>" for k in range(8))
+    menu = "<nav><ul><li><a href=1>Home</a><li><a href=2>News</a></ul></nav>"
+    card = "<article><h3>Teaser</h3><p>See more.</p></article>"
+    for page in (
+        f"<body>{menu}<div class=post>{body}</div>{card}</body>",
+        f"<body class='right-sidebar has-ads'>{menu}{body}</body>",
+        f"<body>{menu}<div class=legal-analysis>{body}</div><div class=cookie>Accept all.</div></body>",
+        f"<body><form id=form>{menu}<article>{body}</article></form></body>",
+        f"<body>{menu}<svg/><main>{body}</main><svg width='1' /></body>",
+    ):
+        text = page_text.main_text(page)
+        assert text.count("Part ") == 8 and "Home" not in text and "Accept" not in text, page
+    hidden = page_text.main_text(f"<body><article>{body}</article><div style='display:none'>{body * 9}</div></body>")
+    assert hidden.count("Part ") == 8
+    kept = page_text.main_text(f"<article>{body}<p>So <math><mi>x</mi><mo>=</mo><mn>1</mn></math>, it is said.</p><object data=x><p>What the film shows, told.</p></object>"
+                               f"<noscript><p>And, without scripts, this.</p></noscript></article>")
+    assert "So x=1, it is said." in kept and "film shows" in kept and "without scripts" in kept
+
+
 def test_decontamination(spark, make_docs, odd, empty):
     items = [(1, "Tom has 12 apples and gives 5 apples to Mary before he walks 3 km to the big market in town."),
              (2, "short one here"), (3, None), (4, "which of these four rivers is the longest in all of northern europe today")]
