@@ -190,6 +190,14 @@ def test_search(make_docs, monkeypatch):
     assert dict(got) == brute_search(rows, bags, 5)
 
 
+def test_search_of_a_word_repeated_very_often(make_docs):
+    n, rows = 100_000, [(1, "a " * 100_000), (2, "a b"), (3, "b c"), (4, "c"), (5, "a")]
+    mean = (n + 6) / 5
+    norm = 1.2 * (0.25 + 0.75 * n / mean)
+    got = topk_search.search(make_docs(rows), make_docs(rows[-1:])).where("doc_id = 1").first()
+    assert abs(got.score - math.log(1 + 2.5 / 3.5) * n * 2.2 / (n + norm)) < 1e-8
+
+
 def test_search_odd(odd, empty):
     assert topk_search.search(odd, odd).where("query_id = 5").count() == 3  # 5, 6 and the repeated 6
     assert topk_search.search(empty, empty).count() == 0
