@@ -60,4 +60,93 @@ SELECT s.doc_id, coalesce(q.m, 0)::BIGINT AS n_lines, coalesce(n_removed, 0)::BI
 FROM split s LEFT JOIN seq q USING (doc_id) LEFT JOIN spans USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
-BODIES = {"op2_ngram_join": NGRAM_JOIN, "op6_line_dedup": LINE_DEDUP}
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of ASCII text, bit by bit."""
+    step = "list_reduce([0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda a, k: xor(a >> 1, (a & 1) * 3988292384), xor(c, b))"
+    codes = f"list_transform(string_split({text}, ''), lambda x: ord(x)::BIGINT)"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295::BIGINT)"
+
+
+def _field(value: str) -> str:
+    return f"coalesce(strlen(({value})::VARCHAR) || ':' || ({value})::VARCHAR, '-')"
+
+
+def _leaf(chars: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', chars, 'text'))})"
+
+
+MERKLE_MANIFEST = f"""
+WITH RECURSIVE d AS (
+    SELECT row_number() OVER () AS rid, doc_id, coalesce('=' || lang, '-') AS g, {_leaf('n_chars')} AS leaf,
+        CASE WHEN {_crc32('doc_id::VARCHAR')} % 7 = 0 AND n_chars IS NOT NULL THEN {_leaf('n_chars::HUGEINT + 1')} END AS altered
+    FROM documents
+), leaves AS (
+    SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM d
+), low AS (
+    SELECT 0 AS lv, g, idx, n, leaf AS h FROM leaves
+    UNION ALL
+    SELECT lv + 1, g, idx // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY idx)) FROM low WHERE n > 1 GROUP BY lv, g, idx // 2
+), tops AS (
+    SELECT g, h, row_number() OVER (ORDER BY g) - 1 AS idx, count(*) OVER () AS n FROM low WHERE n = 1
+), high AS (
+    SELECT 0 AS lv, idx, n, h FROM tops
+    UNION ALL
+    SELECT lv + 1, idx // 2, any_value((n + 1) // 2), sha256(string_agg(h, '' ORDER BY idx)) FROM high WHERE n > 1 GROUP BY lv, idx // 2
+), climb AS (
+    SELECT rid, g, 0 AS lv, idx, n, coalesce(altered, leaf) AS cur, '' AS proof FROM leaves
+    UNION ALL
+    SELECT c.rid, c.g, c.lv + 1, c.idx // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.idx % 2 = 1 THEN s.h || c.cur ELSE c.cur || coalesce(s.h, '') END), c.proof || coalesce(s.h, '')
+    FROM climb c LEFT JOIN low s ON s.lv = c.lv AND s.g = c.g AND s.idx = xor(c.idx, 1) WHERE c.n > 1
+), ascend AS (
+    SELECT c.rid, 0 AS lv, t.idx, t.n, c.cur, c.proof FROM climb c JOIN tops t USING (g) WHERE c.n = 1
+    UNION ALL
+    SELECT c.rid, c.lv + 1, c.idx // 2, (c.n + 1) // 2,
+        sha256(CASE WHEN c.idx % 2 = 1 THEN s.h || c.cur ELSE c.cur || coalesce(s.h, '') END), c.proof || coalesce(s.h, '')
+    FROM ascend c LEFT JOIN high s ON s.lv = c.lv AND s.idx = xor(c.idx, 1) WHERE c.n > 1
+)
+SELECT l.doc_id, l.leaf, t.h AS subroot, r.h AS root, sha256(a.proof) AS proof_sha256, a.cur AS folded_root, a.cur = r.h AS verified
+FROM leaves l JOIN tops t ON t.g = l.g JOIN ascend a ON a.rid = l.rid AND a.n = 1, (SELECT h FROM high WHERE n = 1) r
+"""
+
+PREFIX_TRIE = rf"""
+WITH t AS (
+    SELECT conv_id, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS h,
+        len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS w, turn
+    FROM conversations WHERE conv_id IS NOT NULL
+), p AS (
+    SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, h) AS pos FROM t
+), c AS (
+    SELECT conv_id, {_crc32('conv_id::VARCHAR')} % 4 AS k FROM (SELECT DISTINCT conv_id FROM t)
+), r AS (
+    SELECT c.conv_id, p.pos, p.h, p.w FROM c JOIN p ON p.conv_id = c.conv_id - c.conv_id % 20 AND p.pos <= c.k
+    UNION ALL
+    SELECT c.conv_id, p.pos, p.h, p.w FROM c JOIN p ON p.conv_id = c.conv_id AND p.pos > c.k
+), m AS (
+    SELECT conv_id, row_number() OVER o AS d, string_agg(h, '') OVER o AS path, w FROM r WINDOW o AS (PARTITION BY conv_id ORDER BY pos)
+    UNION ALL
+    SELECT conv_id, 0, '', 0 FROM c
+), n AS (
+    SELECT path, d, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(w) AS w FROM m GROUP BY path, d
+), e AS (
+    SELECT path, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ends
+    FROM (SELECT conv_id, arg_max(path, d) AS path FROM m GROUP BY conv_id) GROUP BY path
+), kids AS (
+    SELECT left(path, 64 * (d - 1)) AS path, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1
+), up AS (
+    SELECT left(n.path, 64 * a.a) AS path, kids.path IS NULL AS leaf, (n.n_convs - 1) * n.w AS saved
+    FROM n LEFT JOIN kids USING (path), LATERAL (SELECT unnest(range(0, n.d + 1)) AS a) a
+), sums AS (
+    SELECT path, count(*) FILTER (WHERE leaf) AS n_leaves, sum(saved) AS saved FROM up GROUP BY path
+)
+SELECT n.conv_id, n.d::BIGINT AS depth, parent.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n_children, 0)::BIGINT AS n_children,
+    sums.n_leaves, sums.saved::BIGINT AS saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM n JOIN sums USING (path) LEFT JOIN kids USING (path) LEFT JOIN e USING (path)
+LEFT JOIN n parent ON n.d > 0 AND parent.path = left(n.path, greatest(64 * (n.d - 1), 0))
+"""
+
+BODIES = {
+    "op2_ngram_join": NGRAM_JOIN, "op6_line_dedup": LINE_DEDUP, "op11_merkle_manifest": MERKLE_MANIFEST, "op12_prefix_trie": PREFIX_TRIE,
+}

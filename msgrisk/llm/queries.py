@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from msgrisk.llm import decontamination, language_id, language_model, line_dedup, mixing, ngram_join, oracle, page_text, suffix_dedup, topk_search, toxicity
+from msgrisk.llm import (
+    decontamination, language_id, language_model, line_dedup, merkle, mixing, ngram_join, oracle, page_text, prefix_trie, suffix_dedup,
+    token_cache, topk_search, toxicity,
+)
 from msgrisk.llm.tables import documents, fold, table
+from msgrisk.session import scratch_path
+
+TOKEN_LIMIT = 4096
 
 
 def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,6 +87,35 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Proof of every document in a binary manifest by language, checked against the documents with one field altered."""
+    # One more than the largest long is still a number here.
+    altered_chars = F.col("n_chars").cast("decimal(20,0)") + 1
+    row = lambda chars: merkle.leaf([F.col("doc_id"), F.col("source"), F.col("lang"), chars, F.col("text")])
+    altered = F.when((F.crc32(F.col("doc_id").cast("string")) % 7 == 0) & F.col("n_chars").isNotNull(), row(altered_chars))
+    leaves = documents(spark, sf_dir).select("doc_id", "lang", row(F.col("n_chars")).alias("leaf"), altered.alias("altered"))
+    proofs = merkle.manifest(leaves, "leaf", "lang", "doc_id").withColumn("folded_root", merkle.fold(F.coalesce("altered", "leaf"), F.col("path")))
+    digests = [merkle.hex_of(F.col(c)).alias(c) for c in ("leaf", "subroot", "root")]
+    return proofs.select(
+        "doc_id", *digests, merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == merkle.hex_of(F.col("root"))).alias("verified"),
+    )
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the prefix trie over conversations with shared openings."""
+    turns = prefix_trie.turns_of(table(spark, sf_dir, "conversations"))
+    nodes = prefix_trie.build(*prefix_trie.branch(turns))
+    return nodes.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens", "ends_sha256")
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document, counted through a cache that starts empty."""
+    tokenizer = public_tokenizers.path("piece_bpe_32k.model")
+    counted = token_cache.count_tokens(documents(spark, sf_dir), str(tokenizer), scratch_path(spark, "token-cache"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_ngram_join": op2_ngram_join,
@@ -91,5 +127,8 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_language_id": op9_language_id,
     "op10_source_mixing": op10_source_mixing,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_token_counts": op13_token_counts,
 }
 ORACLE: dict[str, str] = dict(oracle.BODIES)
