@@ -29,6 +29,8 @@ _COUNTS = "digest binary, n_tokens bigint"
 PART_CHARS = 1 << 20
 # New digests up to this number (32 bytes each) are sent to all tasks, so that stored texts are not shuffled.
 BROADCAST_DIGESTS = 100_000
+# A content is common if more than one row in this many has it, so there are fewer common ones than this.
+COMMON_SHARE = 500
 _CUT = re.compile(r"(?<=[^ ▁]) (?!\Z)")
 
 
@@ -127,7 +129,8 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_folder: str, text_col: s
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     named = docs.select(F.unhex(F.sha2(text, 256)).alias("digest"), text.alias("text"), *[F.col(c).alias(f"c{i}") for i, c in enumerate(carry)])
     rows = stored(named.select("digest", F.octet_length("text").cast("bigint").alias("n_bytes"), *[f"c{i}" for i in range(len(carry))]), "token-rows")
-    missing = stored(rows.select("digest").distinct().join(cached_counts(spark, folder), "digest", "left_anti"), "token-misses")
+    contents = stored(rows.groupBy("digest").agg(F.count("*").alias("n")), "token-contents")
+    missing = stored(contents.select("digest").join(cached_counts(spark, folder), "digest", "left_anti"), "token-misses")
     n_missing = missing.count()
     once = lambda df: df.groupBy("digest").agg(F.any_value("text").alias("text"))
     if n_missing:
@@ -138,5 +141,11 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache_folder: str, text_col: s
             # Copies meet in their tasks before the shuffle, so a text that most rows share is sent once a task.
             new = once(texts).join(missing, "digest", "left_semi")
         _encode(new, tokenizer, expected).write.mode("append").parquet(folder)
-    counted = rows.join(cached_counts(spark, folder), "digest")
+    counts = cached_counts(spark, folder)
+    # Contents that many rows share get their counts by broadcast, the others by a shuffle.
+    frequent = contents.where(F.col("n") * COMMON_SHARE > contents.agg(F.sum("n")).scalar()).select("digest")
+    common = stored(counts.join(F.broadcast(frequent), "digest"), "token-common").withColumnRenamed("n_tokens", "known")
+    placed = rows.join(F.broadcast(common), "digest", "left")
+    rest = placed.where("known is null").drop("known").join(counts, "digest")
+    counted = placed.where("known is not null").withColumnRenamed("known", "n_tokens").unionByName(rest)
     return counted.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(carry)], "n_bytes", "n_tokens")
