@@ -63,9 +63,14 @@ def all_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spread(email_table(spark, sf_dir).select("msg_id", "text")).unionByName(turns).unionByName(spread(pages)).unionByName(spread(orders))
 
 
+def all_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document: msg_id, text and the language as a given grouping."""
+    return spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("msg_id"), "text", "lang"))
+
+
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labelled documents: msg_id, text, label, y and the language as a given grouping."""
-    documents = spread(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("msg_id"), "text", "lang"))
+    """Labelled documents, for what is fitted on labels: msg_id, text, lang, label and y."""
+    documents = all_documents(spark, sf_dir)
     labels = table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("msg_id"),
         F.when(F.col("toxic") == 1, "spam").otherwise("ham").alias("label"),

@@ -98,14 +98,16 @@ RELATIONS = {
     "every": "SELECT msg_id, text FROM email UNION ALL SELECT 1000000000 + msg_id, text FROM sms UNION ALL "
              "SELECT 2000000000 + page_id, concat_ws(' ', url, html) FROM pages UNION ALL "
              f"SELECT 3000000000 + o_orderkey, {ORDER_TEXT} FROM orders",
-    "msgs": "SELECT d.doc_id AS msg_id, d.text, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label, "
-            "CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END::INTEGER AS y, "
-            "CASE d.lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END::INTEGER AS cluster_id, "
-            f"round({unit('d.doc_id', 'probability')}, 4) AS fraud_probability "
-            "FROM documents d JOIN labels l ON d.doc_id = l.doc_id",
+    "docs": "SELECT doc_id AS msg_id, text, CASE lang WHEN 'en' THEN 0 WHEN 'fr' THEN 1 WHEN 'de' THEN 2 ELSE 3 END::INTEGER AS cluster_id, "
+            f"round({unit('doc_id', 'probability')}, 4) AS fraud_probability FROM documents",
+    "msgs": "SELECT d.*, CASE WHEN l.toxic = 1 THEN 'spam' ELSE 'ham' END AS label, "
+            "CASE WHEN l.toxic = 1 THEN 1 ELSE 0 END::INTEGER AS y FROM docs d JOIN labels l ON d.msg_id = l.doc_id",
+    "cleaned_docs": cleaned_of("docs"),
     "prepared": "SELECT * FROM (" + features_of("(" + cleaned_of("msgs") + ")") + ")",
     "gram_lists": "SELECT msg_id, u, u || [u[i] || ' ' || u[i + 1] for i in range(1, len(u))] AS grams "
                   "FROM (SELECT msg_id, regexp_extract_all(clean_text, '[\\pL\\pN_]+') AS u FROM prepared)",
+    "all_gram_lists": "SELECT msg_id, u, u || [u[i] || ' ' || u[i + 1] for i in range(1, len(u))] AS grams "
+                      "FROM (SELECT msg_id, regexp_extract_all(clean_text, '[\\pL\\pN_]+') AS u FROM cleaned_docs)",
     "grams": "SELECT msg_id, unnest(grams) AS term FROM gram_lists",
     "vocab": "SELECT term, count(*) AS tf, count(DISTINCT msg_id) AS df FROM grams GROUP BY term ORDER BY tf DESC, term LIMIT 5000",
     "raw_weights": "SELECT g.msg_id, g.term, count(*) * (ln((1 + (SELECT count(*) FROM prepared)) / (1 + any_value(v.df))) + 1) AS w "
@@ -136,13 +138,13 @@ RELATIONS = {
     "antes": f"SELECT ante, count(*) AS n_rules FROM rules WHERE NOT list_has_any(ante, [{quoted(FLAG_ITEMS)}]) GROUP BY ante",
     "ante_items": "SELECT ante, n_rules, len(ante) AS need, unnest(ante) AS item FROM antes",
     "hits": "SELECT msg_id, sum(n_rules)::INTEGER AS h FROM (SELECT p.msg_id, a.ante, a.need, a.n_rules FROM "
-            "(SELECT msg_id, unnest(list_distinct(toks)) AS item FROM prepared) p JOIN ante_items a ON p.item = a.item "
+            "(SELECT msg_id, unnest(list_distinct(toks)) AS item FROM cleaned_docs) p JOIN ante_items a ON p.item = a.item "
             "GROUP BY ALL HAVING count(*) = a.need) GROUP BY msg_id",
     "risks": "SELECT cluster_id, avg(y) AS cluster_risk FROM msgs GROUP BY cluster_id",
     "scored": "SELECT p.msg_id, p.text, p.fraud_probability, p.cluster_id, coalesce(h.h, 0)::INTEGER AS rule_hits, "
               "least(greatest(0.6::DOUBLE * p.fraud_probability + 0.2::DOUBLE * coalesce(r.cluster_risk, 0.0) "
               "+ 0.2::DOUBLE * (least(coalesce(h.h, 0), 5) / 5.0::DOUBLE), 0), 1) AS score "
-              "FROM prepared p LEFT JOIN risks r ON p.cluster_id = r.cluster_id LEFT JOIN hits h ON p.msg_id = h.msg_id",
+              "FROM docs p LEFT JOIN risks r ON p.cluster_id = r.cluster_id LEFT JOIN hits h ON p.msg_id = h.msg_id",
     "judged": "SELECT *, (fraud_probability >= 0.5)::INTEGER AS pred FROM msgs",
     "cells": "SELECT a.y, b.y AS pred, (SELECT count(*) FROM judged j WHERE j.y = a.y AND j.pred = b.y) AS n "
              "FROM (SELECT y FROM judged UNION SELECT pred FROM judged) a, (SELECT y FROM judged UNION SELECT pred FROM judged) b",
@@ -269,8 +271,8 @@ BODIES = {
     "manual_features_scaled": "SELECT p.msg_id, " + ", ".join(
         f"round(({n} - low_{n}) / coalesce(nullif(high_{n} - low_{n}, 0), 1) * 0.1::DOUBLE, 6) AS {n}" for n in MANUAL_FEATURES)
         + " FROM prepared p, (SELECT " + ", ".join(f"min({n}) AS low_{n}, max({n}) AS high_{n}" for n in MANUAL_FEATURES) + f" FROM prepared WHERE {TRAIN})",
-    "tfidf_tokens": "SELECT msg_id, len(u)::INTEGER AS n, md5(array_to_string(u, ' ')) AS tokens_md5 FROM gram_lists",
-    "ngrams": "SELECT msg_id, len(grams)::INTEGER AS n, md5(array_to_string(grams, '|')) AS grams_md5 FROM gram_lists",
+    "tfidf_tokens": "SELECT msg_id, len(u)::INTEGER AS n, md5(array_to_string(u, ' ')) AS tokens_md5 FROM all_gram_lists",
+    "ngrams": "SELECT msg_id, len(grams)::INTEGER AS n, md5(array_to_string(grams, '|')) AS grams_md5 FROM all_gram_lists",
     "vocabulary": "SELECT term, tf, df FROM vocab",
     "feature_names": "SELECT (row_number() OVER (ORDER BY term) - 1)::INTEGER AS idx, term FROM vocab UNION ALL "
                      f"SELECT ((SELECT count(*) FROM vocab) + i - 1)::INTEGER, [{quoted(MANUAL_FEATURES)}][i] FROM range(1, 11) t(i)",
@@ -288,7 +290,7 @@ BODIES = {
                          "round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM rules",
     "top_rules": "SELECT * FROM (SELECT array_to_string(ante, '|') AS antecedents, array_to_string(cons, '|') AS consequents, round(support, 6) AS support, "
                  "round(confidence, 6) AS confidence, round(lift, 6) AS lift FROM rules) ORDER BY lift DESC, confidence DESC, support DESC, antecedents, consequents LIMIT 20",
-    "rule_hits": "SELECT p.msg_id, coalesce(h.h, 0)::INTEGER AS rule_hits FROM prepared p LEFT JOIN hits h ON p.msg_id = h.msg_id",
+    "rule_hits": "SELECT p.msg_id, coalesce(h.h, 0)::INTEGER AS rule_hits FROM docs p LEFT JOIN hits h ON p.msg_id = h.msg_id",
     "confusion_matrix": "SELECT y, pred, n FROM cells",
     "classification_report": "SELECT y::VARCHAR AS label, m AS metric, round(CASE m WHEN 'precision' THEN p WHEN 'recall' THEN r WHEN 'f1-score' THEN f ELSE support END::DOUBLE, 6) AS value "
                              "FROM class_scores, (SELECT unnest(['precision', 'recall', 'f1-score', 'support']) AS m) UNION ALL "
@@ -313,7 +315,8 @@ BODIES = {
                      f"WHEN 'calinski_harabasz' THEN 'Càng lớn càng tốt' ELSE 'Tổng phương sai nội cụm' END AS \"Ý nghĩa\" FROM ({QUALITY})",
     "cluster_risk": "SELECT cluster_id, round(cluster_risk, 6) AS cluster_risk FROM risks",
     "cluster_keywords": "SELECT cluster_id, term, round(weight, 6) AS weight, rank FROM keywords",
-    "cluster_examples": "SELECT cluster_id, msg_id, example_rank FROM examples",
+    "cluster_examples": "SELECT cluster_id, msg_id, row_number() OVER (PARTITION BY cluster_id ORDER BY "
+                        + digest("msg_id", 42) + ", msg_id)::INTEGER AS example_rank FROM docs QUALIFY example_rank <= 3",
     "cluster_report": "SELECT cluster_id, suggested_name, n_samples, array_to_string(words, '|') AS top_keywords, md5(array_to_string(texts, '|')) AS examples_md5 FROM report",
     "cluster_table": "SELECT cluster_id AS \"Cụm\", suggested_name AS \"Tên gợi ý\", n_samples AS \"Số mẫu\", array_to_string(words, ', ') AS \"Từ khóa đặc trưng\", "
                      + ", ".join(f"coalesce(texts[{i}], '') AS \"Ví dụ {i}\"" for i in (1, 2, 3)) + " FROM report",
@@ -323,8 +326,8 @@ BODIES = {
                         + " || chr(10) || '---' || chr(10) AS value FROM report",
     "smote_neighbors": "SELECT vec_id, nn_id, nn_rank, round(distance, 6) AS distance FROM nn",
     "smote_rows": "SELECT synth_id, label, nn_id, (i - 1)::INTEGER AS pos, round(x[i] + u * (nn[i] - x[i]), 6) AS value FROM (SELECT *, unnest(range(1, len(x) + 1)) AS i FROM lines)",
-    "risk_score": f"SELECT msg_id, round({HITS_FROM_ID}, 6) AS risk_score FROM msgs",
-    "severity": f"SELECT msg_id, {BAND.format('s')} AS severity FROM (SELECT msg_id, round({HITS_FROM_ID}, 6) AS s FROM msgs)",
+    "risk_score": f"SELECT msg_id, round({HITS_FROM_ID}, 6) AS risk_score FROM docs",
+    "severity": f"SELECT msg_id, {BAND.format('s')} AS severity FROM (SELECT msg_id, round({HITS_FROM_ID}, 6) AS s FROM docs)",
     "score_messages": f"SELECT msg_id, md5(text) AS text_md5, fraud_probability, cluster_id, round(score, 6) AS risk_score, {BAND.format('score')} AS severity FROM scored",
     "alerts": f"SELECT msg_id, round(score, 6) AS risk_score, {BAND.format('score')} AS severity, 'Cluster ' || cluster_id || CASE WHEN rule_hits > 0 "
               "THEN '|Matched ' || rule_hits || ' suspicious association rules' ELSE '' END AS reasons FROM scored",

@@ -22,7 +22,7 @@ from msgrisk.session import materialised, scratch_path
 from msgrisk.sources import sinks
 from msgrisk.sources.csv import read_csv
 from msgrisk.sources.messages import load_email, load_sms
-from msgrisk.streaming import messages as streaming
+from msgrisk.streaming import messages as streaming, refresh
 from workload import inputs
 
 DIGITS = 6
@@ -192,6 +192,10 @@ def _prepared(spark, sf_dir) -> DataFrame:
     return preprocess(inputs.labelled(spark, sf_dir))
 
 
+def _all_prepared(spark, sf_dir) -> DataFrame:
+    return preprocess(inputs.all_documents(spark, sf_dir))
+
+
 def manual_features_scaled(spark, sf_dir):
     """Ranges from the training fold, applied to all rows."""
     rows = sampling.hash_split(_prepared(spark, sf_dir).select("msg_id", *MANUAL_FEATURES))
@@ -205,13 +209,13 @@ def manual_features_scaled(spark, sf_dir):
 
 
 def tfidf_tokens(spark, sf_dir):
-    return _prepared(spark, sf_dir).select("msg_id", ve.word_tokens(F.col("clean_text")).alias("t")).select(
+    return _all_prepared(spark, sf_dir).select("msg_id", ve.word_tokens(F.col("clean_text")).alias("t")).select(
         "msg_id", F.size("t").alias("n"), F.md5(F.array_join("t", " ")).alias("tokens_md5")
     )
 
 
 def ngrams(spark, sf_dir):
-    return ve.with_grams(_prepared(spark, sf_dir)).select(
+    return ve.with_grams(_all_prepared(spark, sf_dir)).select(
         "msg_id", F.size("grams").alias("n"), F.md5(F.array_join("grams", "|")).alias("grams_md5")
     )
 
@@ -301,7 +305,8 @@ def top_rules(spark, sf_dir):
 
 
 def rule_hits(spark, sf_dir):
-    return ru.rule_hits(_prepared(spark, sf_dir), _rules(spark, sf_dir)).select("msg_id", "rule_hits")
+    """Rules of the labelled fraud rows met by every document."""
+    return ru.rule_hits(_all_prepared(spark, sf_dir), _rules(spark, sf_dir)).select("msg_id", "rule_hits")
 
 
 # --- evaluation --------------------------------------------------------------------------------
@@ -394,7 +399,7 @@ def cluster_keywords(spark, sf_dir):
 
 
 def cluster_examples(spark, sf_dir):
-    return sampling.cluster_examples(inputs.with_cluster(inputs.labelled(spark, sf_dir)))
+    return sampling.cluster_examples(inputs.with_cluster(inputs.all_documents(spark, sf_dir)))
 
 
 def _report(spark, sf_dir) -> DataFrame:
@@ -435,26 +440,28 @@ def smote_rows(spark, sf_dir):
 # --- scores ------------------------------------------------------------------------------------
 
 def _scored_input(spark, sf_dir) -> DataFrame:
-    return inputs.with_probability(inputs.with_cluster(_prepared(spark, sf_dir)))
+    return inputs.with_probability(inputs.with_cluster(_all_prepared(spark, sf_dir)))
+
+
+def _risks(spark, sf_dir) -> DataFrame:
+    return cl.cluster_risk(inputs.with_cluster(inputs.labelled(spark, sf_dir)).select("cluster_id", "y"))
 
 
 def risk_score(spark, sf_dir):
     """Cluster risk from the language and hits from the id, over the whole table."""
-    rows = inputs.with_probability(inputs.with_cluster(inputs.labelled(spark, sf_dir)))
+    rows = inputs.with_probability(inputs.with_cluster(inputs.all_documents(spark, sf_dir)))
     score = scoring.risk_score(F.col("fraud_probability"), F.col("cluster_id") / 3.0, F.col("msg_id") % 8)
     return rows.select("msg_id", F.round(score, DIGITS).alias("risk_score"))
 
 
 def severity(spark, sf_dir):
-    rows = inputs.with_probability(inputs.with_cluster(inputs.labelled(spark, sf_dir)))
+    rows = inputs.with_probability(inputs.with_cluster(inputs.all_documents(spark, sf_dir)))
     score = scoring.risk_score(F.col("fraud_probability"), F.col("cluster_id") / 3.0, F.col("msg_id") % 8)
     return rows.select("msg_id", scoring.severity(F.round(score, DIGITS)).alias("severity"))
 
 
 def _scored(spark, sf_dir) -> DataFrame:
-    rows = _scored_input(spark, sf_dir)
-    risks = cl.cluster_risk(rows.select("cluster_id", "y"))
-    return score_messages(rows, risks, _rules(spark, sf_dir))
+    return score_messages(_scored_input(spark, sf_dir), _risks(spark, sf_dir), _rules(spark, sf_dir))
 
 
 def scored(spark, sf_dir):
@@ -562,15 +569,16 @@ def _document_stream(spark, sf_dir) -> DataFrame:
 
 
 def stream_score(spark, sf_dir):
-    """Arriving documents scored with fixed clusters and mined rules."""
-    labels = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("msg_id"))
+    """Arriving documents scored batch by batch with the published cluster risks and rules."""
+    path = scratch_path(spark, "stream-score")
+    refresh.publish(spark, f"{path}/models", _risks(spark, sf_dir), _rules(spark, sf_dir))
     documents = _document_stream(spark, sf_dir).select(F.col("doc_id").alias("msg_id"), "text", "lang")
-    rows = inputs.with_probability(inputs.with_cluster(preprocess(documents.join(labels, "msg_id"))))
-    risks = cl.cluster_risk(inputs.with_cluster(inputs.labelled(spark, sf_dir)))
-    stream = score_messages(rows, risks, materialised(_rules(spark, sf_dir), "rules"))
-    return _run(stream.select(
+    rows = inputs.with_probability(inputs.with_cluster(preprocess(documents)))
+    shown = lambda scored: scored.select(
         "msg_id", F.md5("text").alias("text_md5"), *OUTPUT[1:3], rounded("risk_score"), "severity"
-    ))
+    )
+    refresh.score_arrivals(rows, f"{path}/models", path, f"{path}/progress", shown).awaitTermination()
+    return refresh.scored_rows(spark, path).drop("batch", "model_version")
 
 
 def stream_dedupe(spark, sf_dir):
