@@ -2,8 +2,8 @@
 
 Distances between all rows are quadratic by nature. Rows are hashed into blocks of bounded size and
 every pair of blocks is one task, keyed by the pair and reached by an ordinary shuffle, so no task
-ever holds more than two blocks. A task multiplies its two blocks as matrices and emits sums or the
-nearest few per row, never a pair of rows.
+ever holds more than two blocks. A task multiplies its two blocks as matrices and emits sums per row,
+never a pair of rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from collections.abc import Callable, Sequence
 import numpy as np
 import pandas as pd
 from pyspark.ml.linalg import VectorUDT
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 # Rows of one block. A task holds two blocks and their distance matrix (32 MB).
 BLOCK_ROWS = 2048
@@ -26,7 +26,7 @@ NEAR = 1e-4
 NEAR_ENTRIES = 4 * 1024 * 1024
 
 
-def _packed(df: DataFrame, vector: str) -> DataFrame:
+def packed(df: DataFrame, vector: str) -> DataFrame:
     """Replace the vector by _at (positions, null where dense) and _x (values)."""
     if isinstance(df.schema[vector].dataType, VectorUDT):
         inner = F.unwrap_udt(vector)
@@ -36,7 +36,7 @@ def _packed(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumns({"_at": at, "_x": x}).drop(vector)
 
 
-def _width(df: DataFrame, vector: str) -> int:
+def width_of(df: DataFrame, vector: str) -> int:
     if isinstance(df.schema[vector].dataType, VectorUDT):
         inner = F.unwrap_udt(vector)
         size = F.coalesce(inner["size"], F.size(inner["values"]))
@@ -46,14 +46,14 @@ def _width(df: DataFrame, vector: str) -> int:
     return row[0] if row else 0
 
 
-def _matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
+def matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
     out = np.zeros((len(rows), width))
     for i, (at, x) in enumerate(zip(rows["_at"], rows["_x"])):
         out[i, slice(None) if at is None else at] = x
     return out
 
 
-def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Distances from one matrix product. Near pairs, where that loses digits, are taken directly."""
     scale = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :]
     squared = scale - 2.0 * (a @ b.T)
@@ -87,7 +87,7 @@ def per_block_pair(
     With a group column only blocks of the same group meet. sizes has the rows of each group (of
     None without one); there is an entry per class, so it is small.
     """
-    width = _width(df, vector)
+    width = width_of(df, vector)
     cores = df.sparkSession.sparkContext.defaultParallelism
     blocks = {g: _block_count(n, block_rows, cores) for g, n in sizes.items()}
     if group is None:
@@ -96,7 +96,7 @@ def per_block_pair(
         known = F.create_map(*[F.lit(v) for pair in blocks.items() for v in pair])
         placed, n_blocks = df.withColumn("_group", F.col(group)), F.element_at(known, F.col(group))
     placed = placed.withColumn("_blocks", n_blocks)
-    placed = _packed(placed.select(key, vector, "_group", "_blocks", *carried), vector).withColumn(
+    placed = packed(placed.select(key, vector, "_group", "_blocks", *carried), vector).withColumn(
         "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
     )
     copies = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumns(
@@ -106,63 +106,20 @@ def per_block_pair(
     def both(pair: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, low, high = pair
         first = rows[rows["_block"] == low]
-        a = _matrix(first, width)
+        a = matrix(first, width)
         if low == high:
-            distances = _distances(a, a)
-            np.fill_diagonal(distances, 0.0)
-            return combine(distances, first, first, True)
+            found = distances(a, a)
+            np.fill_diagonal(found, 0.0)
+            return combine(found, first, first, True)
         second = rows[rows["_block"] == high]
-        distances = _distances(a, _matrix(second, width))
+        found = distances(a, matrix(second, width))
         return pd.concat([
-            combine(distances, first, second, False), combine(distances.T, second, first, False)
+            combine(found, first, second, False), combine(found.T, second, first, False)
         ])
 
     return copies.groupBy("_group", "_low", "_high").applyInPandas(both, schema)
 
 
-def nearest_neighbours(
-    df: DataFrame,
-    key: str,
-    vector: str,
-    k: int,
-    sizes: dict[int | None, int] | None = None,
-    group: str | None = None,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
-    """(key, nn_id, nn_rank, distance): the k nearest other rows of the same group, all rows without one.
-
-    Equal distances go by id. Each block pair sends at most k candidates per row.
-    """
-    if sizes is None:
-        sizes = {None: df.count()} if group is None else dict(df.groupBy(group).count().collect())
-    for g, n in sizes.items():
-        if n <= k:
-            raise ValueError(f"{k} neighbours need more than {k} rows, found {n}" + (f" of {group} {g}" if group else ""))
-
-    def nearest(distances, rows, others, same):
-        ids = others[key].to_numpy()
-        if same:
-            np.fill_diagonal(distances, np.inf)
-        ties = np.broadcast_to(ids, distances.shape)
-        order = np.lexsort((ties, np.round(distances, DIGITS)), axis=1)[:, :k]
-        at = np.repeat(np.arange(len(rows)), order.shape[1])
-        out = pd.DataFrame({
-            key: rows[key].to_numpy()[at], "nn_id": ids[order.ravel()], "distance": distances[at, order.ravel()],
-        })
-        return out[np.isfinite(out.distance)]
-
-    kind = df.schema[key].dataType.simpleString()
-    found = per_block_pair(
-        df, key, vector, [], nearest, f"{key} {kind}, nn_id {kind}, distance double", sizes, group, block_rows
-    )
-    order = Window.partitionBy(key).orderBy(F.round("distance", DIGITS), "nn_id")
-    return (
-        found.withColumn("nn_rank", F.row_number().over(order))
-        .filter(F.col("nn_rank") <= k)
-        .select(key, "nn_id", "nn_rank", "distance")
-    )
-
-
 def silhouettes(
     df: DataFrame, key: str, vector: str, clusterings: Sequence[str], block_rows: int = BLOCK_ROWS
 ) -> DataFrame:

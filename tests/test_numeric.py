@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from msgrisk.functions import scoring
 from msgrisk.operators import clustering as cl, imbalance, metrics, projection, sampling
-from msgrisk.operators.pairwise import nearest_neighbours, silhouettes
+from msgrisk.operators.neighbours import nearest_neighbours
+from msgrisk.operators.pairwise import silhouettes
 
 RNG = np.random.default_rng(1)
 N = 150
@@ -49,6 +50,29 @@ def test_neighbours_within_groups(points):
     assert len(found) == 2 * N and all(C[r.id] == C[r.nn_id] for r in found)
 
 
+def test_neighbours_below_all_pairs(spark):
+    """Clusters far apart, one of them of 500 copies: most distances are never computed, none is missed."""
+    rng = np.random.default_rng(4)
+    x = np.vstack([rng.normal(size=(1500, 3)) + 40 * rng.integers(0, 6, size=(1500, 3)), np.tile([[7.0, 7.0, 7.0]], (500, 1))])
+    ids = rng.permutation(len(x))
+    df = spark.createDataFrame([(int(i), r.tolist()) for i, r in zip(ids, x)], "id bigint, x array<double>")
+    count = spark.sparkContext.accumulator(0)
+    got = {(r.id, r.nn_rank): r.nn_id for r in nearest_neighbours(df, "id", "x", 3, block_rows=16, count=count).collect()}
+    away = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 9)
+    np.fill_diagonal(away, np.inf)
+    for at in range(len(x)):
+        order = np.lexsort((ids, away[at]))[:3]
+        assert [got[ids[at], r] for r in (1, 2, 3)] == ids[order].tolist()
+    assert 0 < count.value < len(x) ** 2 / 10
+
+
+def test_neighbours_of_copies_alone(spark):
+    df = spark.createDataFrame([(i, 0 if i < 5 else 1, [1.0, 2.0] if i < 5 else [float(i), 0.0]) for i in range(9)], "id bigint, c int, x array<double>")
+    got = sorted((r.id, r.nn_rank, r.nn_id, round(r.distance, 6)) for r in nearest_neighbours(df, "id", "x", 3, group="c").collect())
+    assert got[:6] == [(0, 1, 1, 0.0), (0, 2, 2, 0.0), (0, 3, 3, 0.0), (1, 1, 0, 0.0), (1, 2, 2, 0.0), (1, 3, 3, 0.0)]
+    assert got[15:18] == [(5, 1, 6, 1.0), (5, 2, 7, 2.0), (5, 3, 8, 3.0)] and len(got) == 27
+
+
 def test_too_few_rows_for_neighbours(points):
     with pytest.raises(ValueError):
         nearest_neighbours(points.filter("id < 3"), "id", "x", 5)

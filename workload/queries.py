@@ -14,7 +14,7 @@ from msgrisk.functions.text import (
 )
 from msgrisk.operators import clustering as cl, dedupe, imbalance, metrics, projection, rules as ru, sampling
 from msgrisk.operators import vectorize as ve
-from msgrisk.operators.pairwise import nearest_neighbours
+from msgrisk.operators.neighbours import nearest_neighbours
 from msgrisk.operators.forest import feature_importance as importance_table, fit_forest, with_forest_scores
 from msgrisk.plans import report as reporting, training
 from msgrisk.plans.scoring import OUTPUT, score_messages
