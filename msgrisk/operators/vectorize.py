@@ -16,6 +16,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from msgrisk.constants import MANUAL_FEATURES, MANUAL_SCALE, VOCABULARY_SIZE
 from msgrisk.functions.text import WORD
+from msgrisk.session import materialised
+
+# Hash buckets that bound the counts of terms. A task holds and sends that many sums at most.
+SKETCH_BUCKETS = 1 << 20
 
 
 def word_tokens(clean_text: Column) -> Column:
@@ -41,11 +45,11 @@ def with_grams(df: DataFrame, text: str = "clean_text", ngrams: tuple[int, int]
     return staged.withColumn("grams", F.concat(*runs)).drop("_words")
 
 
-def term_counts(with_gram_column: DataFrame) -> DataFrame:
-    """(term, tf, df) in one shuffle.
+def _marked_terms(with_gram_column: DataFrame) -> DataFrame:
+    """(term, last): every gram; the last copy of each in its row is marked by 1.
 
-    Sorting a row's own grams marks the last copy of each, so document frequency is a sum beside the
-    term frequency and no (row, term) pair is ever shuffled. Partial sums keep hot terms cheap.
+    Sorting a row's own grams brings its copies together, so document frequency is a sum beside the term frequency
+    and no (row, term) pair is ever shuffled.
     """
     ordered = with_gram_column.select(F.sort_array("grams").alias("g"))
     following = F.slice(F.col("g"), 2, F.greatest(F.size("g"), F.lit(1)))
@@ -54,11 +58,50 @@ def term_counts(with_gram_column: DataFrame) -> DataFrame:
         following,
         lambda a, b: F.struct(a.alias("term"), F.when(b.isNull() | (a != b), 1).otherwise(0).alias("last")),
     )
-    return (
-        ordered.select(F.inline(marked))
-        .groupBy("term")
-        .agg(F.count("*").alias("tf"), F.sum("last").alias("df"))
-    )
+    # The plain form would have rows filtered by the size of their grams first, computed from the text once more.
+    return ordered.select(F.inline_outer(marked)).where(F.col("term").isNotNull())
+
+
+def _summed(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("term").agg(F.count("*").alias("tf"), F.sum("last").alias("df"))
+
+
+def term_counts(with_gram_column: DataFrame) -> DataFrame:
+    """(term, tf, df) of all terms in one shuffle; partial sums keep hot terms cheap."""
+    return _summed(_marked_terms(with_gram_column))
+
+
+def _bucket(term: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def top_terms(
+    with_gram_column: DataFrame, max_features: int = VOCABULARY_SIZE, buckets: int = SKETCH_BUCKETS
+) -> DataFrame:
+    """(term, tf, df) of the most frequent terms; equal counts go by term. Exact, without a shuffle of all terms.
+
+    A table of hash buckets with the sum of their terms' counts, of fixed size in every task, bounds each count from
+    above. Only terms of heavy buckets are counted one by one. If the last of the chosen terms is as frequent as the
+    lightest bucket looked into, no other term can be among them; else its count is the bound of a second recount,
+    which settles it.
+    """
+    if max_features < 1:
+        raise ValueError("at least one term is wanted")
+    grams = with_gram_column.select("grams")
+    hashed = grams.select(F.explode_outer("grams").alias("term")).where(F.col("term").isNotNull())
+    sketch = materialised(hashed.groupBy(_bucket(F.col("term"), buckets).alias("bucket")).agg(F.count("*").alias("n")), "term-buckets")
+    heaviest = sketch.orderBy(F.desc("n"), "bucket").limit(2 * max_features).agg(F.min("n").alias("n"), F.count("*").alias("k")).first()
+    bound = heaviest.n if heaviest.k == 2 * max_features else 0
+    while True:
+        # At most `buckets` rows.
+        heavy = F.broadcast(sketch.where(F.col("n") >= bound).select("bucket"))
+        terms = _marked_terms(grams).withColumn("bucket", _bucket(F.col("term"), buckets))
+        wanted = terms if not bound else terms.join(heavy, "bucket", "left_semi")
+        top = materialised(vocabulary(_summed(wanted.drop("bucket")), max_features), "top-terms")
+        last = top.agg(F.min("tf").alias("tf"), F.count("*").alias("k")).first()
+        if not bound or last.k == max_features and last.tf >= bound:
+            return top
+        bound = last.tf if last.k == max_features else 0
 
 
 def vocabulary(counts: DataFrame, max_features: int = VOCABULARY_SIZE) -> DataFrame:
@@ -109,7 +152,7 @@ class FeatureModel:
             *[F.min(n).alias(f"low_{n}") for n in manual],
             *[F.max(n).alias(f"high_{n}") for n in manual],
         ).first()
-        top = vocabulary(term_counts(with_grams(train, text, ngrams)), max_features)
+        top = top_terms(with_grams(train, text, ngrams), max_features)
         weighted = top.select("term", idf(F.col("df"), F.lit(ranges["n"])).alias("idf"))
         # At most max_features rows.
         rows = sorted(weighted.collect())
@@ -195,7 +238,7 @@ def member_indices(df: DataFrame, source: str, members, target: str) -> DataFram
 def long_weights(vectors: DataFrame, model: FeatureModel, key: str = "msg_id", column: str = "tfidf") -> DataFrame:
     """(key, term, weight), one row per non-zero entry. No shuffle: the name table is small."""
     entries = vectors.select(key, F.unwrap_udt(column).alias("_v")).select(
-        key, F.inline(F.arrays_zip(F.col("_v.indices").alias("idx"), F.col("_v.values").alias("weight")))
-    )
+        key, F.inline_outer(F.arrays_zip(F.col("_v.indices").alias("idx"), F.col("_v.values").alias("weight")))
+    ).where(F.col("idx").isNotNull())
     names = model.names_table(vectors.sparkSession)
     return entries.join(F.broadcast(names), "idx").select(key, "term", "weight")

@@ -221,7 +221,7 @@ def ngrams(spark, sf_dir):
 
 
 def vocabulary(spark, sf_dir):
-    return ve.vocabulary(ve.term_counts(ve.with_grams(_prepared(spark, sf_dir))))
+    return ve.top_terms(ve.with_grams(_prepared(spark, sf_dir).select("clean_text")))
 
 
 def _fitted(spark, sf_dir) -> tuple[ve.FeatureModel, DataFrame]:
