@@ -20,6 +20,8 @@ from msgrisk.session import materialised
 
 # Hash buckets that bound the counts of terms. A task holds and sends that many sums at most.
 SKETCH_BUCKETS = 1 << 20
+# Characters of training text beyond which fitting counts terms by way of the sketch. Either way gives the same terms.
+SKETCH_FROM_CHARS = 1 << 30
 
 
 def word_tokens(clean_text: Column) -> Column:
@@ -147,12 +149,16 @@ class FeatureModel:
         max_features: int = VOCABULARY_SIZE,
         ngrams: tuple[int, int] = (1, 2),
     ) -> "FeatureModel":
-        ranges = train.select(*manual_columns(train, manual)).agg(
+        ranges = train.select(*manual_columns(train, manual), F.length(text).alias("_chars")).agg(
             F.count("*").alias("n"),
+            F.coalesce(F.sum("_chars"), F.lit(0)).alias("chars"),
             *[F.min(n).alias(f"low_{n}") for n in manual],
             *[F.max(n).alias(f"high_{n}") for n in manual],
         ).first()
-        top = top_terms(with_grams(train, text, ngrams), max_features)
+        grams = with_grams(train, text, ngrams)
+        # All terms of a small corpus are one small shuffle; a sketch would read it twice for nothing.
+        few = ranges["chars"] <= SKETCH_FROM_CHARS
+        top = vocabulary(term_counts(grams), max_features) if few else top_terms(grams, max_features)
         weighted = top.select("term", idf(F.col("df"), F.lit(ranges["n"])).alias("idf"))
         # At most max_features rows.
         rows = sorted(weighted.collect())

@@ -59,5 +59,15 @@ def test_only_heavy_buckets_are_recounted(spark, monkeypatch):
 def test_long_weights_of_rows_without_terms(spark):
     df = spark.createDataFrame([(1, "a b a"), (2, ""), (3, None)], "msg_id bigint, clean_text string")
     model = ve.FeatureModel.fit(df, manual=())
+    assert set(model.terms) == {"a", "b", "a b", "b a"}
     found = ve.long_weights(model.text_vectors(df), model).agg(F.count_distinct("msg_id"), F.count("*")).first()
     assert tuple(found) == (1, 4)
+
+
+def test_sketch_and_plain_counts_fit_alike(spark, monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join(f"w{int(90 * rng.random() ** 2)}" for _ in range(25)) for _ in range(80)]
+    df = spark.createDataFrame(list(enumerate(texts)), "msg_id bigint, clean_text string")
+    plain = ve.FeatureModel.fit(df, manual=(), max_features=200)
+    monkeypatch.setattr(ve, "SKETCH_FROM_CHARS", -1)
+    assert ve.FeatureModel.fit(df, manual=(), max_features=200) == plain and len(plain.terms) == 200

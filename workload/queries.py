@@ -221,7 +221,8 @@ def ngrams(spark, sf_dir):
 
 
 def vocabulary(spark, sf_dir):
-    return ve.top_terms(ve.with_grams(_prepared(spark, sf_dir).select("clean_text")))
+    cleaned = materialised(_prepared(spark, sf_dir).select("clean_text"), "cleaned")
+    return ve.top_terms(ve.with_grams(cleaned))
 
 
 def _fitted(spark, sf_dir) -> tuple[ve.FeatureModel, DataFrame]:
