@@ -111,6 +111,13 @@ def vocabulary(counts: DataFrame, max_features: int = VOCABULARY_SIZE) -> DataFr
     return counts.orderBy(F.desc("tf"), "term").limit(max_features)
 
 
+def frequent_terms(with_gram_column: DataFrame, n_chars: int, max_features: int = VOCABULARY_SIZE) -> DataFrame:
+    """top_terms of a text of about n_chars. All terms of a small text are one small shuffle, without a second reading."""
+    if n_chars <= SKETCH_FROM_CHARS:
+        return vocabulary(term_counts(with_gram_column), max_features)
+    return top_terms(with_gram_column, max_features)
+
+
 def idf(df: Column, n_rows: Column) -> Column:
     return F.log((n_rows + 1) / (df + 1)) + 1
 
@@ -155,10 +162,7 @@ class FeatureModel:
             *[F.min(n).alias(f"low_{n}") for n in manual],
             *[F.max(n).alias(f"high_{n}") for n in manual],
         ).first()
-        grams = with_grams(train, text, ngrams)
-        # All terms of a small corpus are one small shuffle; a sketch would read it twice for nothing.
-        few = ranges["chars"] <= SKETCH_FROM_CHARS
-        top = vocabulary(term_counts(grams), max_features) if few else top_terms(grams, max_features)
+        top = frequent_terms(with_grams(train, text, ngrams), ranges["chars"], max_features)
         weighted = top.select("term", idf(F.col("df"), F.lit(ranges["n"])).alias("idf"))
         # At most max_features rows.
         rows = sorted(weighted.collect())

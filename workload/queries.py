@@ -221,8 +221,8 @@ def ngrams(spark, sf_dir):
 
 
 def vocabulary(spark, sf_dir):
-    cleaned = materialised(_prepared(spark, sf_dir).select("clean_text"), "cleaned")
-    return ve.top_terms(ve.with_grams(cleaned))
+    n_chars = inputs.labelled(spark, sf_dir).agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
+    return ve.frequent_terms(ve.with_grams(_prepared(spark, sf_dir)), n_chars)
 
 
 def _fitted(spark, sf_dir) -> tuple[ve.FeatureModel, DataFrame]:
