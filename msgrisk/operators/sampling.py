@@ -1,8 +1,9 @@
 """Splits and samples that depend only on a row's key and the seed.
 
-Exact sizes come from a counting pass rather than from ranking a whole group in one task: rows are
+Exact sizes come from a counting pass rather than from ranking a whole group in one task: keys are
 spread over 65,536 hash buckets, the bucket where the wanted size is reached is found from the
-counts, and only that bucket's rows are ranked.
+counts, and only that bucket's keys are ranked. What comes of it is a limit per group, by which rows
+are then filtered as they are read.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from msgrisk.constants import EXAMPLES_PER_CLUSTER, SEED, TEST_SHARE
 from msgrisk.functions.hashing import digest_number, keyed_digest, unit_hash
+from msgrisk.session import materialised
 
 BUCKET_DIGITS = 4
 
@@ -21,14 +23,13 @@ def hash_split(df: DataFrame, key: str = "msg_id", share: float = TEST_SHARE, se
     return df.withColumn("fold", fold)
 
 
-def mark_lowest(
-    df: DataFrame, wanted: DataFrame, group: str, key: str, flag: str = "chosen", seed: int = SEED
-) -> DataFrame:
-    """Append a boolean: is the row among its group's `wanted` rows of lowest hash?
+def _limits(df: DataFrame, wanted: DataFrame, group: str, key: str, seed: int) -> DataFrame:
+    """(group, _at, _last, _spare, _tied): the last chosen (digest, key) of each group that has more rows than wanted.
 
-    wanted is (group, wanted) with one row per group and must be small: it has one row per class.
+    _last is null where none is wanted. _spare rows that equal _last are chosen; _tied says that there are more.
+    Reads keys alone, twice: for the counts of the buckets and for the ranks in one bucket a group.
     """
-    hashed = df.withColumn("_digest", keyed_digest(F.col(key), seed)).withColumn(
+    hashed = df.select(group, keyed_digest(F.col(key), seed).alias("_digest"), F.col(key).alias("_key")).withColumn(
         "_bucket", digest_number(F.col("_digest"), BUCKET_DIGITS).cast("int")
     )
     counts = hashed.groupBy(group, "_bucket").agg(F.count("*").alias("_n"))
@@ -42,14 +43,41 @@ def mark_lowest(
         .agg(F.min(F.struct("_bucket", (F.col("wanted") - F.col("_upto") + F.col("_n")).alias("need"))).alias("_cut"))
         .select(group, F.col("_cut._bucket").alias("_at"), F.col("_cut.need").alias("_need"))
     )
-    placed = hashed.join(F.broadcast(cut), group, "left")
-    inside = placed.filter("_bucket = _at")
-    outside = placed.filter("_at IS NULL OR _bucket <> _at").withColumn(
-        flag, F.col("_at").isNull() | (F.col("_bucket") < F.col("_at"))
+    cut = materialised(cut, "sample-cuts")
+    order = Window.partitionBy(group).orderBy("_digest", "_key")
+    here = F.struct("_digest", "_key")
+    last = (
+        hashed.join(F.broadcast(cut), group).filter("_bucket = _at")
+        .select(group, here.alias("_last"), "_need", F.row_number().over(order).alias("_place"), F.rank().over(order).alias("_first"),
+                F.lead(here).over(order).alias("_next"))
+        .filter("_place = _need")
+        .select(group, "_last", (F.col("_need") - F.col("_first") + 1).alias("_spare"), F.col("_next").eqNullSafe(F.col("_last")).alias("_tied"))
+    )
+    return materialised(cut.select(group, "_at").join(last, group, "left"), "sample-limits")
+
+
+def mark_lowest(
+    df: DataFrame, wanted: DataFrame, group: str, key: str, flag: str = "chosen", seed: int = SEED
+) -> DataFrame:
+    """Append a boolean: is the row among its group's `wanted` rows of lowest hash?
+
+    wanted is (group, wanted) with one row per group and must be small: it has one row per class. Rows are compared
+    with their group's limit as they are read, so whole rows are read once and not shuffled. Only where keys repeat
+    right at a limit, those rows are counted off.
+    """
+    limits = _limits(df, wanted, group, key, seed)
+    placed = df.withColumn("_here", F.struct(keyed_digest(F.col(key), seed).alias("_digest"), F.col(key).alias("_key"))).join(
+        F.broadcast(limits), group, "left"
     )
-    order = Window.partitionBy(group).orderBy("_digest", key)
-    ranked = inside.withColumn(flag, F.row_number().over(order) <= F.col("_need"))
-    return outside.unionByName(ranked).drop("_digest", "_bucket", "_at", "_need")
+    # A group without a limit has no more rows than wanted.
+    below = F.col("_at").isNull() | F.coalesce(F.col("_here") <= F.col("_last"), F.lit(False))
+    kept = [*df.columns, flag]
+    if not limits.filter("_tied").limit(1).collect():
+        return placed.withColumn(flag, below).select(*kept)
+    level = F.coalesce(F.col("_here") == F.col("_last"), F.lit(False))
+    counted = F.row_number().over(Window.partitionBy(group).orderBy("_here")) <= F.col("_spare")
+    apart = placed.filter(~level).withColumn(flag, below)
+    return apart.unionByName(placed.filter(level).withColumn(flag, counted)).select(*kept)
 
 
 def class_test_sizes(counts: DataFrame, label: str, share: float = TEST_SHARE) -> DataFrame:
