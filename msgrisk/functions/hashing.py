@@ -8,8 +8,8 @@ UNIT_RANGE = 2.0 ** 32
 
 
 def keyed_digest(key: Column, seed: int | str) -> Column:
-    """Hex md5 of seed and key."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), key.cast("string")))
+    """Hex md5 of seed and key. A missing key counts as the empty text."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
 
 
 def digest_number(digest: Column, digits: int = 8) -> Column:
