@@ -12,6 +12,7 @@ from msgrisk.constants import FLAG_ITEMS, N_CLUSTERS, N_RESTARTS, SEED, TEST_SHA
 from msgrisk.functions.labels import coerce_label
 from msgrisk.functions.text import preprocess
 from msgrisk.operators import clustering, metrics
+from msgrisk.operators.bagging import BaggedForest
 from msgrisk.operators.forest import MAX_DEPTH, feature_importance, fit_forest, with_forest_scores
 from msgrisk.operators.rules import association_rules, build_transactions, frequent_itemsets
 from msgrisk.operators.sampling import stratified_split
@@ -25,7 +26,7 @@ class MessageRiskModel:
     """Fitted features, classifier, clusters, cluster risks and rules."""
 
     features: FeatureModel
-    forest: RandomForestClassificationModel
+    forest: RandomForestClassificationModel | BaggedForest
     kmeans: KMeansModel | None
     risks: DataFrame
     rules: DataFrame
@@ -55,9 +56,12 @@ class MessageRiskModel:
         """Write all parts below a path. A path that holds a model is refused at once, or overwritten on request."""
         spark, mode = self.risks.sparkSession, "overwrite" if overwrite else "error"
         # The list of parts comes first, so that an existing model stops the save before anything is written.
-        spark.createDataFrame([(bool(self.kmeans),)], "clustered boolean").write.mode(mode).parquet(f"{path}/parts")
+        bags = len(self.forest.parts) if isinstance(self.forest, BaggedForest) else 0
+        spark.createDataFrame([(bool(self.kmeans), bags)], "clustered boolean, bags int").write.mode(mode).parquet(f"{path}/parts")
         self.features.save(spark, f"{path}/features", mode)
-        for name, part in (("forest", self.forest), ("kmeans", self.kmeans)):
+        if bags:
+            self.forest.save(f"{path}/forest", overwrite)
+        for name, part in (("forest", None if bags else self.forest), ("kmeans", self.kmeans)):
             if part:
                 (part.write().overwrite() if overwrite else part.write()).save(f"{path}/{name}")
         self.risks.write.mode(mode).parquet(f"{path}/risks")
@@ -65,10 +69,11 @@ class MessageRiskModel:
 
     @staticmethod
     def load(spark: SparkSession, path: str) -> "MessageRiskModel":
-        clustered = spark.read.parquet(f"{path}/parts").first().clustered
+        clustered, bags = spark.read.schema("clustered boolean, bags int").parquet(f"{path}/parts").first()
+        forest = f"{path}/forest"
         return MessageRiskModel(
             FeatureModel.load(spark, f"{path}/features"),
-            RandomForestClassificationModel.load(f"{path}/forest"),
+            BaggedForest.load(forest, bags) if bags else RandomForestClassificationModel.load(forest),
             KMeansModel.load(f"{path}/kmeans") if clustered else None,
             spark.read.parquet(f"{path}/risks"),
             spark.read.parquet(f"{path}/rules"),
@@ -103,6 +108,7 @@ def fit(
     exact_silhouette: bool = False,
     risk_from_all_rows: bool = False,
     seed: int = SEED,
+    bags: int | None = None,
 ) -> tuple[MessageRiskModel, TrainingSummary]:
     """Fit all parts on the training fold and evaluate on the test fold.
 
@@ -112,6 +118,8 @@ def fit(
     Ids must be unique. Lenient labels leave out rows whose label is unknown and count them. The silhouettes of
     the sweep are by squared distance unless exact_silhouette is set.
 
+    With `bags` the trees are spread over as many bootstraps, each balanced by its own class weights.
+
     By default the risk of a cluster is the mean label of the rows it was fitted on, which are the
     fraud rows. risk_from_all_rows takes the mean over all training rows nearest to it instead.
     """
@@ -130,7 +138,7 @@ def fit(
 
     features = FeatureModel.fit(train)
     vectors = materialised(features.transform(train), "vectors")
-    forest = fit_forest(vectors, "y", key, "features", use_smote, num_trees, max_depth, seed)
+    forest = fit_forest(vectors, "y", key, "features", use_smote, num_trees, max_depth, seed, bags)
     judged = materialised(with_forest_scores(forest, features.transform(test)).select("y", "pred", "fraud_probability"), "judged")
     confusion = metrics.confusion_matrix(judged)
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from msgrisk.constants import BANK_WORDS, CSV_MISSING, FLAG_ITEMS, FRAUD_PHRASES, LABEL_CLASSES, MANUAL_FEATURES, STOP_WORDS
 
 
@@ -31,6 +33,12 @@ def unit(key: str, seed) -> str:
     return f"({number(digest(key, seed))} / 4294967296.0::DOUBLE)"
 
 
+# Draws from the Poisson distribution of mean 1, from a uniform number u.
+POISSON = " + ".join(
+    f"(u >= '{sum(math.exp(-1) / math.factorial(j) for j in range(k + 1))!r}'::DOUBLE)::INTEGER" for k in range(13)
+)
+
+
 def features_of(source: str) -> str:
     """The ten features of every row of a relation with text, all other columns kept."""
     phrases = " + ".join(
@@ -263,6 +271,9 @@ BODIES = {
                        + " FROM prepared GROUP BY label",
     "fraud_rows": "SELECT msg_id, y FROM msgs WHERE y = 1",
     "cluster_source": "SELECT msg_id, y FROM msgs WHERE y = 1 OR NOT EXISTS (SELECT 1 FROM msgs WHERE y = 1)",
+    "bag_weights": f"""SELECT bag, y, n, round(sum(n) OVER (PARTITION BY bag) / (count(*) OVER (PARTITION BY bag) * n), 6)::DOUBLE AS weight
+      FROM (SELECT bag::INTEGER AS bag, y, sum({POISSON})::BIGINT AS n FROM (
+        SELECT y, bag, {unit("(msg_id || ':' || bag)", "42-bag")} AS u FROM msgs, range(10) t(bag)) GROUP BY ALL) WHERE n > 0""",
     "class_weights": "SELECT y, round((SELECT count(*) FROM msgs) / ((SELECT count(DISTINCT y) FROM msgs) * count(*)), 6) AS weight FROM msgs GROUP BY y",
     "hash_split": f"SELECT msg_id, CASE WHEN {TRAIN} THEN 'train' ELSE 'test' END AS fold FROM msgs",
     "stratified_split": f"SELECT m.msg_id, m.y, CASE WHEN m.pick <= t.wanted THEN 'test' ELSE 'train' END AS fold FROM ({marked('msgs', 'y', '', 'msg_id')}) m "

@@ -14,6 +14,7 @@ from msgrisk.functions.text import (
 )
 from msgrisk.operators import clustering as cl, dedupe, imbalance, metrics, projection, rules as ru, sampling
 from msgrisk.operators import vectorize as ve
+from msgrisk.operators.bagging import bag_class_weights
 from msgrisk.operators.neighbours import nearest_neighbours
 from msgrisk.operators.forest import feature_importance as importance_table, fit_forest, with_forest_scores
 from msgrisk.plans import report as reporting, training
@@ -26,6 +27,7 @@ from msgrisk.streaming import messages as streaming, refresh
 from workload import inputs
 
 DIGITS = 6
+BAGS = 10
 
 
 def rounded(name: str):
@@ -173,6 +175,11 @@ def class_weights(spark, sf_dir):
     return imbalance.class_weights(inputs.labelled(spark, sf_dir)).select("y", rounded("weight"))
 
 
+def bag_weights(spark, sf_dir):
+    """Rows of each class in ten bootstraps of the labelled documents, and the class weights inside them."""
+    return bag_class_weights(inputs.labelled(spark, sf_dir), BAGS).select("bag", "y", "n", rounded("weight"))
+
+
 def hash_split(spark, sf_dir):
     return sampling.hash_split(inputs.labelled(spark, sf_dir)).select("msg_id", "fold")
 
@@ -511,12 +518,12 @@ def svd_project(spark, sf_dir):
     return coordinates.select("vec_id", F.posexplode("coords").alias("component", "value"))
 
 
-def _forest(spark, sf_dir):
+def _forest(spark, sf_dir, bags: int | None = None):
     """A forest fitted on the training fold and the vectors of the test fold."""
     rows = sampling.stratified_split(materialised(_prepared(spark, sf_dir).drop("text"), "prepared"))
     rows = materialised(rows, "split")
     model = ve.FeatureModel.fit(rows.filter("fold = 'train'"))
-    forest = fit_forest(model.transform(rows.filter("fold = 'train'")))
+    forest = fit_forest(model.transform(rows.filter("fold = 'train'")), bags=bags)
     return model, forest, model.transform(rows.filter("fold = 'test'"))
 
 
@@ -525,6 +532,12 @@ def rf_scores(spark, sf_dir):
     return with_forest_scores(forest, test).select("msg_id", "y", "fraud_probability", "pred")
 
 
+def rf_bagged_scores(spark, sf_dir):
+    """Scores of a forest whose bootstraps are balanced one by one."""
+    _, forest, test = _forest(spark, sf_dir, BAGS)
+    return with_forest_scores(forest, test).select("msg_id", "y", "fraud_probability", "pred")
+
+
 def feature_importance(spark, sf_dir):
     model, forest, _ = _forest(spark, sf_dir)
     return importance_table(forest, model.names, spark)
@@ -606,6 +619,7 @@ QUERIES = {
     "fraud_rows": fraud_rows,
     "cluster_source": cluster_source,
     "class_weights": class_weights,
+    "bag_weights": bag_weights,
     "hash_split": hash_split,
     "stratified_split": stratified_split,
     "capped_sample": capped_sample,
@@ -652,6 +666,7 @@ QUERIES = {
     "pca_2d": pca_2d,
     "svd_project": svd_project,
     "rf_scores": rf_scores,
+    "rf_bagged_scores": rf_bagged_scores,
     "feature_importance": feature_importance,
     "fit_summary": fit_summary,
     "predict_messages": predict_messages,
