@@ -342,6 +342,9 @@ BODIES = {
     "score_messages": f"SELECT msg_id, md5(text) AS text_md5, fraud_probability, cluster_id, round(score, 6) AS risk_score, {BAND.format('score')} AS severity FROM scored",
     "alerts": f"SELECT msg_id, round(score, 6) AS risk_score, {BAND.format('score')} AS severity, 'Cluster ' || cluster_id || CASE WHEN rule_hits > 0 "
               "THEN '|Matched ' || rule_hits || ' suspicious association rules' ELSE '' END AS reasons FROM scored",
+    "pca_norms": """SELECT vec_id, round(sum((x - m) * (x - m)), 6) AS norm FROM (
+        SELECT vec_id, x, avg(x) OVER (PARTITION BY place) AS m FROM (
+          SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM embeddings)) GROUP BY vec_id""",
     "stream_dedupe": "SELECT DISTINCT md5(text) AS text_md5 FROM documents",
 }
 BODIES["silhouette_fast"] = (

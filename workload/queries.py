@@ -17,6 +17,7 @@ from msgrisk.operators import vectorize as ve
 from msgrisk.operators.bagging import bag_class_weights
 from msgrisk.operators.neighbours import nearest_neighbours
 from msgrisk.operators.forest import feature_importance as importance_table, fit_forest, with_forest_scores
+from msgrisk.operators.pairwise import width_of
 from msgrisk.plans import report as reporting, training
 from msgrisk.plans.scoring import OUTPUT, score_messages
 from msgrisk.session import materialised, scratch_path
@@ -513,6 +514,15 @@ def pca_2d(spark, sf_dir):
     return projection.pca_coordinates(inputs.vectors(spark, sf_dir), "vec_id", "x")
 
 
+def pca_norms(spark, sf_dir):
+    """All components together keep each row's squared distance to the mean, whatever their signs."""
+    vectors = inputs.vectors(spark, sf_dir)
+    width = width_of(vectors, "x")
+    axes = [F.col(f"pc{i + 1}") for i in range(width)]
+    whole = projection.pca_coordinates(vectors, "vec_id", "x", width)
+    return whole.select("vec_id", F.aggregate(F.array(*axes), F.lit(0.0), lambda a, x: a + x * x).alias("norm")).select("vec_id", rounded("norm"))
+
+
 def svd_project(spark, sf_dir):
     coordinates, values = projection.svd_coordinates(inputs.vectors(spark, sf_dir), "vec_id", "x", 10)
     return coordinates.select("vec_id", F.posexplode("coords").alias("component", "value"))
@@ -664,6 +674,7 @@ QUERIES = {
     "k_sweep": k_sweep,
     "silhouette_fast": silhouette_fast,
     "pca_2d": pca_2d,
+    "pca_norms": pca_norms,
     "svd_project": svd_project,
     "rf_scores": rf_scores,
     "rf_bagged_scores": rf_bagged_scores,
