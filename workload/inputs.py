@@ -18,9 +18,9 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def sms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def sms_rows(conversations: DataFrame) -> DataFrame:
     """Conversation turns; the role decides the label."""
-    return table(spark, sf_dir, "conversations").select(
+    return conversations.select(
         (F.col("conv_id") * 1000 + F.col("turn")).alias("msg_id"),
         "text",
         F.when(F.col("role") == "system", "spam").otherwise("ham").alias("label"),
@@ -28,9 +28,9 @@ def sms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def email_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def email_rows(documents: DataFrame) -> DataFrame:
     """Documents; the language decides the label."""
-    return table(spark, sf_dir, "documents").select(
+    return documents.select(
         F.col("doc_id").alias("msg_id"),
         "text",
         F.when(F.col("lang") == "en", "ham").otherwise("spam").alias("label"),
@@ -38,6 +38,14 @@ def email_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def sms_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sms_rows(table(spark, sf_dir, "conversations"))
+
+
+def email_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return email_rows(table(spark, sf_dir, "documents"))
+
+
 def order_notice() -> Column:
     """A message about an order with links, phones, amounts, accounts and known phrases."""
     key, amount = F.col("o_orderkey").cast("string"), F.floor("o_totalprice").cast("string")

@@ -345,6 +345,7 @@ BODIES = {
     "pca_norms": """SELECT vec_id, round(sum((x - m) * (x - m)), 6) AS norm FROM (
         SELECT vec_id, x, avg(x) OVER (PARTITION BY place) AS m FROM (
           SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS place FROM embeddings)) GROUP BY vec_id""",
+    "stream_dedupe_ranked": "SELECT msg_id, source, md5(text) AS text_md5 FROM deduped",
     "stream_dedupe": "SELECT DISTINCT md5(text) AS text_md5 FROM documents",
 }
 BODIES["silhouette_fast"] = (

@@ -25,6 +25,7 @@ from msgrisk.sources import sinks
 from msgrisk.sources.csv import read_csv
 from msgrisk.sources.messages import load_email, load_sms
 from msgrisk.streaming import messages as streaming, refresh
+from msgrisk.streaming.dedupe import dedupe_by_rank
 from workload import inputs
 
 DIGITS = 6
@@ -580,16 +581,20 @@ def run_report(spark, sf_dir):
 
 # --- streams -----------------------------------------------------------------------------------
 
-def _run(stream: DataFrame) -> DataFrame:
+def _run(stream: DataFrame, keyed_state: bool = False) -> DataFrame:
     """Run a stream over what has arrived and read its sink."""
     spark, path = stream.sparkSession, scratch_path(stream.sparkSession, "stream")
-    streaming.write_available(stream, f"{path}/rows", f"{path}/progress").awaitTermination()
+    streaming.write_available(stream, f"{path}/rows", f"{path}/progress", keyed_state).awaitTermination()
     return spark.read.schema(stream.schema).parquet(f"{path}/rows")
 
 
+def _stream(spark, sf_dir, name: str) -> DataFrame:
+    schema = inputs.table(spark, sf_dir, name).schema
+    return streaming.read_messages(spark, f"{sf_dir}/{name}*.parquet", schema)
+
+
 def _document_stream(spark, sf_dir) -> DataFrame:
-    schema = inputs.table(spark, sf_dir, "documents").schema
-    return streaming.read_messages(spark, f"{sf_dir}/documents*.parquet", schema)
+    return _stream(spark, sf_dir, "documents")
 
 
 def stream_score(spark, sf_dir):
@@ -611,6 +616,22 @@ def stream_dedupe(spark, sf_dir):
     return _run(streaming.dedupe_stream(arrived, "arrived", "2 days").select(F.md5("text").alias("text_md5")))
 
 
+def stream_dedupe_ranked(spark, sf_dir):
+    """Each text of both sources once. Turns come a day after documents and win all the same; a tick closes the stream."""
+    sms, email = inputs.sms_rows(_stream(spark, sf_dir, "conversations")), inputs.email_rows(_stream(spark, sf_dir, "documents"))
+    merged = dedupe.merge_sources(sms, email, keep_ids=True)
+    day, start = 86_400, 1_700_000_000
+    arrived = merged.withColumn("arrived", F.timestamp_seconds(start + F.col("msg_id") % day + F.when(F.col("source") == "sms", day).otherwise(0)))
+    path = scratch_path(spark, "tick")
+    spark.range(1).select(
+        *[F.lit("tick" if f.name == "source" else None).cast(f.dataType).alias(f.name) for f in merged.schema],
+        F.timestamp_seconds(F.lit(start + 30 * day)).alias("arrived"),
+    ).write.parquet(path)
+    ticks = streaming.read_messages(spark, path, arrived.schema)
+    kept = dedupe_by_rank(arrived.unionByName(ticks), "arrived", "1 hour", 3 * day, tick=F.col("source") == "tick")
+    return _run(kept.select("msg_id", "source", F.md5("text").alias("text_md5")), keyed_state=True)
+
+
 QUERIES = {
     "csv_scan": csv_scan,
     "csv_bad_lines": csv_bad_lines,
@@ -684,4 +705,5 @@ QUERIES = {
     "run_report": run_report,
     "stream_score": stream_score,
     "stream_dedupe": stream_dedupe,
+    "stream_dedupe_ranked": stream_dedupe_ranked,
 }
