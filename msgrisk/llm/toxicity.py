@@ -148,9 +148,13 @@ def _features(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in STEMS if len(word) >= k)] if word else []
 
 
-def _evidence(chosen: DataFrame) -> tuple[dict[str, tuple[list[int], int]], dict[str, int], int]:
-    """Toxic texts and number of words of each feature of MIN_TEXTS toxic texts; how many clean texts have it; all clean
-    texts. Bounded by the fit rows."""
+def _evidence(chosen: DataFrame) -> tuple[pa.Table, set[str]]:
+    """(feature, keys of its toxic texts, number of words, ratio) of the features that mark toxic texts; the seeds
+    that are common among toxic texts.
+
+    Features are weighed on the executors. The driver gets the names of common features, and texts of those that
+    mark; both are bounded by the fit rows.
+    """
 
     def toxic_features(batches):
         for piece in pieces(batches, "text"):
@@ -168,11 +172,12 @@ def _evidence(chosen: DataFrame) -> tuple[dict[str, tuple[list[int], int]], dict
             yield pa.RecordBatch.from_arrays(columns, ["feature", "key", "word"])
 
     toxic = chosen.where("label = 1").mapInArrow(toxic_features, "feature string, key bigint, word string")
-    common = toxic.groupBy("feature").agg(
+    common = stored(toxic.groupBy("feature").agg(
         F.collect_set("key").alias("keys"), F.count_distinct("word").alias("words")
-    ).where(F.size("keys") >= MIN_TEXTS)
-    texts = {row.feature: (row["keys"], row["words"]) for row in common.collect()}
-    shared = chosen.sparkSession.sparkContext.broadcast(frozenset(texts))
+    ).where(F.size("keys") >= MIN_TEXTS), "toxicity-features")
+    n_toxic = common.select(F.explode("keys").alias("key")).distinct().count()
+    known = frozenset(common.select("feature").toArrow().column("feature").to_pylist())
+    shared = chosen.sparkSession.sparkContext.broadcast(known)
 
     def clean_counts(batches):
         wanted, counts = shared.value, {}
@@ -190,39 +195,46 @@ def _evidence(chosen: DataFrame) -> tuple[dict[str, tuple[list[int], int]], dict
         yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["feature", "n"])
 
     clean = chosen.where("label = 0").mapInArrow(clean_counts, "feature string, n bigint").groupBy("feature").agg(F.sum("n").alias("n"))
-    counts = {row.feature: row.n for row in clean.collect()}
     n_clean = chosen.where("label = 0").count()
+    share = (F.size("keys") + 0.5) / F.lit(n_toxic + 1) / ((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(n_clean + 1))
+    marking = common.join(clean, "feature", "left").withColumn("ratio", share).where(F.col("ratio") >= MIN_RATIO)
+    found = marking.select("feature", "keys", "words", "ratio").toArrow().sort_by("feature")
     shared.destroy()
-    return texts, counts, n_clean
+    return found, set(SEEDS[INSULT].split()) & known
 
 
-def _learn_lexicon(texts: dict[str, tuple[list[int], int]], clean: dict[str, int], n_clean: int) -> dict[str, float]:
+def _learn_lexicon(found: pa.Table, common_seeds: set[str]) -> dict[str, float]:
     """Greedy cover of the toxic texts by features that clean texts lack."""
-    toxic = {k for keys, _ in texts.values() for k in keys}
-    lexicon = {}
-    scored = {}
-    families = set()
-    for feature, (keys, n_words) in texts.items():
-        ratio = ((len(keys) + 0.5) / (len(toxic) + 1)) / ((clean.get(feature, 0) + 0.5) / (n_clean + 1))
-        if ratio >= MIN_RATIO:
-            scored[feature] = (set(keys), math.log(ratio))
-            if n_words >= FAMILY_WORDS and len(keys) >= FAMILY_TEXTS and ratio >= FAMILY_RATIO:
-                families.add(feature)
+    names = found.column("feature").to_pylist()
+    keys = found.column("keys").combine_chunks()
+    sizes = keys.value_lengths().to_numpy(zero_copy_only=False)
+    starts = np.cumsum(sizes) - sizes
+    texts = np.unique(keys.flatten().to_numpy(), return_inverse=True)[1]
+    words_of, ratio = found.column("words").to_numpy(), found.column("ratio").to_numpy()
+    weight = [math.log(r) for r in ratio.tolist()]
     seeds = set(SEEDS[INSULT].split())
-    open_texts = set(toxic)
-    for feature in sorted((seeds & set(scored)) | families)[:LEXICON_SIZE]:
-        lexicon[feature] = scored[feature][1]
-        open_texts -= scored[feature][0]
-    for feature in seeds - set(texts):
+    family = (words_of >= FAMILY_WORDS) & (sizes >= FAMILY_TEXTS) & (ratio >= FAMILY_RATIO)
+    first = [i for i, name in enumerate(names) if name in seeds or family[i]]
+    lexicon = {}
+    uncovered = np.ones(int(texts.max()) + 1 if len(texts) else 0, bool)
+
+    def take(i: int) -> None:
+        lexicon[names[i]] = weight[i]
+        uncovered[texts[starts[i]:starts[i] + sizes[i]]] = False
+
+    for i in sorted(first, key=lambda i: (-weight[i], names[i]))[:LEXICON_SIZE]:
+        take(i)
+    for feature in seeds - common_seeds:
         lexicon[feature] = math.log(MIN_RATIO)
-    while open_texts and len(lexicon) < LEXICON_SIZE:
+    while names and len(lexicon) < LEXICON_SIZE:
         # Rarity among clean texts first counts by its logarithm, the number of new texts in full.
-        best = max(scored, key=lambda f: (len(scored[f][0] & open_texts) * scored[f][1], f), default=None)
-        if best is None or len(scored[best][0] & open_texts) < MIN_TEXTS:
+        left = np.add.reduceat(uncovered[texts].astype(np.int64), starts)
+        gain = np.where(left >= MIN_TEXTS, left * np.array(weight), -1.0)
+        # Of equal gains the last name.
+        best = len(gain) - 1 - int(np.argmax(gain[::-1]))
+        if gain[best] < 0:
             break
-        lexicon[best] = scored[best][1]
-        open_texts -= scored[best][0]
-        scored = {f: v for f, v in scored.items() if len(v[0] & open_texts) >= MIN_TEXTS}
+        take(best)
     return lexicon
 
 
