@@ -1,7 +1,8 @@
 """Toxicity by a weighted finite-state pattern grammar over clauses.
 
-A lexicon turns words into symbols: insult, threat, target, negation, report, quote or other. Four transducers,
-composed into one machine, rewrite the symbols of a clause and weigh them:
+A lexicon turns words into symbols: insult, threat, target, negation, report, quote or other. A transducer that
+reads a clause from its end rewrites a threat with a target up to TARGET_REACH words after it. Four more,
+composed into one machine, then read the clause from its start and weigh its symbols:
 
     report     an insult or threat after a reporting word in the clause is reported speech
     negation   an insult or threat up to NEGATION_REACH words after a negation is negated
@@ -42,6 +43,8 @@ THRESHOLD = 0.7
 NEGATION_REACH, TARGET_REACH = 3, 4
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE = range(7)
+# A threat with its target behind it; no word has this symbol.
+THREAT_AT = 7
 # Fixed seed words of the grammar.
 SEEDS = {
     INSULT: "idiot idiots moron morons scum stupid pathetic worthless loser losers trash disgusting imbecile",
@@ -91,29 +94,41 @@ def _reach(trigger: int, reach: int, mark: str) -> Transducer:
         machine.rest[state] = max(0, state - 1)
         machine.arcs[state] = {trigger: (reach, trigger, 1.0)}
         if state:
-            for base in (INSULT, THREAT):
+            for base in (INSULT, THREAT, THREAT_AT):
                 for marks in ((), ("reported",), ("negated",), ("reported", "negated")):
                     symbol = (base, *marks) if marks else base
                     machine.arcs[state][symbol] = (max(0, state - 1), (base, *marks, mark), 1.0)
     return machine
 
 
+def ends_on_target() -> Transducer:
+    """Read from the end of a clause: threats up to TARGET_REACH words before a target."""
+    machine = Transducer()
+    for state in range(TARGET_REACH + 1):
+        machine.rest[state] = max(0, state - 1)
+        machine.arcs[state] = {TARGET: (TARGET_REACH, TARGET, 1.0)}
+        if state:
+            machine.arcs[state][THREAT] = (state - 1, THREAT_AT, 1.0)
+    return machine
+
+
 def grammar() -> Transducer:
     report = Transducer(arcs={
         0: {REPORT: (1, REPORT, 1.0), QUOTE: (1, QUOTE, 1.0)},
-        1: {INSULT: (1, (INSULT, "reported"), 1.0), THREAT: (1, (THREAT, "reported"), 1.0)},
+        1: {INSULT: (1, (INSULT, "reported"), 1.0), THREAT: (1, (THREAT, "reported"), 1.0),
+            THREAT_AT: (1, (THREAT_AT, "reported"), 1.0)},
     })
     scorer = Transducer(arcs={0: {}})
-    for base in (INSULT, THREAT):
+    for base in (INSULT, THREAT, THREAT_AT):
         for reported in (False, True):
             for negated in (False, True):
                 for aimed in (False, True):
                     marks = ("reported",) * reported + ("negated",) * negated + ("aimed",) * aimed
-                    weight = (AIMED if aimed else PLAIN) * (NEGATED if negated else 1) * (REPORTED if reported else 1)
+                    weight = (AIMED if aimed or base == THREAT_AT else PLAIN) * (NEGATED if negated else 1) * (REPORTED if reported else 1)
                     if base == THREAT and not aimed:
                         weight = 0.0  # a threat needs somebody it is aimed at
                     scorer.arcs[0][(base, *marks) if marks else base] = (0, "hit", weight)
-    symbols = range(7)
+    symbols = range(8)
     machine = compose(report, _reach(NEGATION, NEGATION_REACH, "negated"), symbols)
     machine = compose(machine, _reach(TARGET, TARGET_REACH, "aimed"), symbols)
     return compose(machine, scorer, symbols)
@@ -127,7 +142,7 @@ class ToxicityModel:
     coefficients: np.ndarray
 
     def __post_init__(self):
-        self.machine = grammar()
+        self.machine, self.behind = grammar(), ends_on_target()
         self.fixed = {word: symbol for symbol, text in SEEDS.items() for word in text.split() if symbol != INSULT}
 
     def symbol(self, word: str) -> tuple[int, float]:
@@ -254,12 +269,15 @@ def clause_hits(model: ToxicityModel, texts: pa.Array) -> list[tuple[int, int, i
     of, out = owners(found.starts), []
     for k in np.unique(clause).tolist():
         start, stop = (int(stops[k - 1]) + 1 if k else 0), int(stops[k])
+        state, read = 0, []
+        for symbol in token_kind[start:stop + 1][::-1].tolist():
+            state, written, _ = model.behind.step(state, symbol)
+            read.append(written)
         state, score = 0, 0.0
-        for at in range(start, stop + 1):
-            word = int(found.ids[at])
-            state, written, weight = model.machine.step(state, int(kind[word]))
+        for at, symbol in zip(range(start, stop + 1), reversed(read)):
+            state, written, weight = model.machine.step(state, symbol)
             if written == "hit":
-                score += weight * symbols[word][1]
+                score += weight * symbols[int(found.ids[at])][1]
         if score > 0:
             text = int(of[start])
             out.append((text, start - int(found.starts[text]), stop - int(found.starts[text]), score))

@@ -101,7 +101,13 @@ def test_grammar_weighs_clauses():
     plain, aimed = clause("what an idiot"), clause("you are an idiot")
     negated, reported = clause("she is not an idiot"), clause("the paper quoted an idiot")
     assert aimed > plain > reported > 0 and negated < plain
-    assert clause("i will kill you") == 0 < clause("you i will kill") and clause("nothing here") == 0
+    threat = clause("i will kill you")
+    assert threat == clause("you i will kill") == clause("i will kill you and your family") > 0
+    assert 0 < clause("i will not kill you") < threat and 0 < clause("he said i will kill you") < threat
+    # Nobody is aimed at: no target, one in another clause, or one too far behind.
+    for text in ("i will kill", "i will kill, you see", "kill one two three four you", "nothing here"):
+        assert clause(text) == 0
+    assert clause("kill one two three you") == threat
 
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><script>var a="</p><p>no";</script></head><body><!-- c -->
