@@ -244,16 +244,15 @@ def cluster_risk(df: DataFrame, cluster: str = "cluster_id", label: str = "y") -
     return df.groupBy(cluster).agg(F.avg(label).alias("cluster_risk"))
 
 
-def mean_term_weights(weights: DataFrame, clusters: DataFrame, key: str = "msg_id", cluster: str = "cluster_id") -> DataFrame:
-    """(cluster, term, weight): the centre of each cluster in long form.
+def mean_term_weights(df: DataFrame, names: DataFrame, vector: str = "tfidf", cluster: str = "cluster_id") -> DataFrame:
+    """(cluster, term, weight): the centre of each cluster in long form, without its zeros.
 
-    weights is (key, term, weight). Sums are combined per task; at most k * vocabulary rows remain.
+    names is (idx, term), one row per column of the vectors. Each task adds up one vector per cluster, so a row's
+    terms are never exploded or joined by key; rows without a cluster count for none.
     """
-    sizes = cluster_sizes(clusters, cluster)
-    summed = weights.join(clusters.select(key, cluster), key).groupBy(cluster, "term").agg(
-        F.sum("weight").alias("_sum")
-    )
-    return summed.join(F.broadcast(sizes), cluster).select(cluster, "term", (F.col("_sum") / F.col("n")).alias("weight"))
+    centres = centroids(df.where(F.col(cluster).isNotNull()), cluster, vector)
+    entries = centres.select(cluster, F.posexplode("centroid").alias("idx", "weight")).where("weight <> 0")
+    return entries.join(F.broadcast(names), "idx").select(cluster, "term", "weight")
 
 
 def cluster_keywords(centre_weights: DataFrame, cluster: str = "cluster_id", top: int = TOP_KEYWORDS) -> DataFrame:

@@ -186,3 +186,14 @@ def test_projections(points):
     assert values == pytest.approx(s[:4])
     got = np.array([r.coords for r in coords.orderBy("id").collect()])
     assert np.abs(got) == pytest.approx(np.abs(X @ vt[:4].T), abs=1e-6)
+
+
+def test_mean_term_weights(spark):
+    """Centres of sparse vectors in long form: no row per entry, no zeros, rows without a cluster left out."""
+    rows = [(0, [1.0, 0.0, 3.0]), (0, [3.0, 0.0, 0.0]), (1, [0.0, 0.0, 0.0]), (2, [0.0, 5.0, 0.0]), (None, [9.0, 9.0, 9.0])]
+    df = spark.createDataFrame(rows, "cluster_id int, x array<double>").select("cluster_id", array_to_vector("x").alias("x"))
+    names = spark.createDataFrame([(0, "a"), (1, "b"), (2, "c")], "idx int, term string")
+    found = cl.mean_term_weights(df, names, "x")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1
+    assert sorted(tuple(r) for r in found.collect()) == [(0, "a", 2.0), (0, "c", 1.5), (2, "b", 5.0)]

@@ -57,6 +57,49 @@ def test_matching_column(spark):
         matching_column(spark.createDataFrame([], "a int"), ("v2",))
 
 
+@pytest.mark.parametrize("body, spans", [
+    ("ham,one\n", False),
+    ("ham,one\r\nspam,two\r\n", False),
+    ('"ham","a, ""b"""\nham,5" x\n', False),
+    ('ham,"open\nclosed"\n', True),
+    ('ham,"a" b\n', True),
+    ("ham,one\rspam,two\n", True),
+    ("ham,one\n \nspam,two\n", True),
+    ("ham,one\n\nspam,two\n", False),
+])
+def test_files_whose_records_span_lines(spark, tmp_path, body, spans):
+    path = tmp_path / "m.csv"
+    end = "\r\n" if "\r\n" in body else "\n"
+    path.write_bytes(f"\ufeffv1,v2{end}{body}".encode())
+    [layout] = files_by_layout(spark, str(path))
+    assert layout == ("UTF-8", "v1,v2", spans)
+    assert rows(read_csv(spark, str(path))) == rows(read_csv(spark, str(path), multi_line=True))
+
+
+def test_line_ends_may_differ_within_a_file(spark, tmp_path):
+    (tmp_path / "m.csv").write_bytes(b"v1,v2\nham,one\r\nspam,two\n")
+    assert rows(read_csv(spark, str(tmp_path))) == [("ham", "one"), ("spam", "two")]
+
+
+def test_large_files_are_split(spark, tmp_path):
+    """A file of one-line records is read by several tasks; one with a newline in a cell by one task; the rows are the same."""
+    (tmp_path / "a.csv").write_text("label,text\n" + "".join(f'ham,"text {k}, ""x"""\n' for k in range(40_000)))
+    (tmp_path / "b.csv").write_text("label,text\n" + "".join(f'spam,"text\n{k}"\n' for k in range(40_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200000")
+    try:
+        tasks = {
+            name: read_csv(spark, str(tmp_path / f"{name}.csv")).rdd.getNumPartitions() for name in "ab"
+        }
+        got = read_csv(spark, str(tmp_path))
+        counts = {r.label: (r["count"], r.texts) for r in got.groupBy("label").agg(
+            F.count("*").alias("count"), F.count_distinct("text").alias("texts")).collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert tasks["a"] > 3 and tasks["b"] == 1
+    assert counts == {"ham": (40_000, 40_000), "spam": (40_000, 40_000)}
+
+
 def test_files_of_different_headings(spark, tmp_path):
     (tmp_path / "a.csv").write_text("label,text\nham,one\n")
     (tmp_path / "b.csv").write_text("text,label\ntwo,spam\n")

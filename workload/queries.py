@@ -399,8 +399,7 @@ def _grouped(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     """Labelled rows with a given cluster, and the centres in long form."""
     rows = materialised(inputs.with_cluster(_prepared(spark, sf_dir)), "grouped")
     model = ve.FeatureModel.fit(rows)
-    weights = ve.long_weights(model.text_vectors(rows), model)
-    return rows, cl.mean_term_weights(weights, rows)
+    return rows, cl.mean_term_weights(model.text_vectors(rows), model.names_table(spark))
 
 
 def cluster_keywords(spark, sf_dir):
