@@ -4,16 +4,19 @@ A text is the set of its distinct `n`-word shingles. Two texts link if 100 * |A
 
 1. A sketch of fixed size counts shingles by hash over all rows. Sorting a set by (sketch count, hash) puts rare
    shingles first; any fixed order gives the same links, the counts only make prefixes selective.
-2. Rows with equal sets become one set. A set of size s sends its first s - ceil(percent * s / 100) + 1 shingles
-   as postings; linked sets share one of them.
+2. Rows with equal sets become one set. A set of size s sends its first s - ceil(percent * s / 100) + 2 shingles
+   as postings; linked sets share two of them (or all, if they share less). A posting stays if the list's next
+   smaller or next larger set passes the length filter, a set if enough of its postings stay.
 3. Postings of a shingle stand in order of set size. Pairs pass the length filter (sizes), the positional filter
    (what the places in both prefixes leave to share) and the suffix filter (shingles are parted at fixed hash
    values; parts with an odd number in one set alone bound the sets' difference), and are then verified once, on
    whole sets.
-4. Not all pairs of a group are looked at. Each round, every set proposes the candidate outside its component
-   that the parts put closest, among its neighbours in the order of each posting list and the list's first set,
-   so that a group of thousands of near copies merges by verifying about one pair a set and round. Then all
-   remaining pairs between different components are verified; pairs inside a component cannot change it.
+4. Not all pairs of a group are looked at. Each round, every set proposes candidates outside its component, those
+   that the parts put closest among its neighbours in the order of each posting list and the list's first set. The
+   first round takes few postings of a set and its closest candidate, which merges most copies; later rounds take the
+   lists that hold more than one component, and end when a round links nothing. Then all remaining pairs between
+   different components are verified, each emitted at the first list that both are in; pairs inside a component
+   cannot change it.
 """
 
 from __future__ import annotations
@@ -33,7 +36,12 @@ from msgrisk.llm.tokens import Words, hash64, mix, owners, pieces, powers, words
 SKETCH_BITS = 20
 PARTS = 512
 NEEDED_BITS = 22
-LINEAR_ROUNDS = 3
+# Rounds of proposals: postings a set takes in the first, candidates it proposes in the later ones, and the most of them.
+FIRST_POSTINGS = 4
+CANDIDATES = 8
+PROPOSAL_ROUNDS = 8
+# Earlier lists of a set that a posting knows in the last step; more only save repeated rows.
+KNOWN_LISTS = 32
 _STEP = 0xD1B54A32D192ED03 | 1
 
 
@@ -96,7 +104,7 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
         for piece in pieces(batches, text_col):
             code, starts = _sets(words(piece.column(text_col)), n, shared.value)
             size = np.diff(starts)
-            length = np.where(size > 0, size + (-percent * size) // 100 + 1, 0)
+            length = np.minimum(size, size + (-percent * size) // 100 + 2)
             of = owners(starts)
             head = np.arange(len(code)) - starts[:-1][of] < length[of]
             part = (code >> np.uint64(8)) % np.uint64(PARTS)
@@ -110,7 +118,9 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
             ], ["id", "sig", "size", "prefix", "bits"])
 
     rows = docs.select(F.col(id_col).alias("id"), text_col)
-    return rows.mapInArrow(run, f"id {kind}, sig bigint, size bigint, prefix array<bigint>, bits array<bigint>")
+    out = stored(rows.mapInArrow(run, f"id {kind}, sig bigint, size bigint, prefix array<bigint>, bits array<bigint>"), "ngram-rows")
+    shared.destroy()
+    return out
 
 
 def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame) -> DataFrame:
@@ -141,7 +151,9 @@ def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: Dat
 
     rows = docs.select(F.xxhash64(F.col(id_col).cast("string")).bitwiseAND(mask).cast("int").alias("mark"), F.col(text_col).alias("text"))
     sets = rows.mapInArrow(run, "sig bigint, members binary").join(needed.select("sig"), "sig", "left_semi")
-    return sets.groupBy("sig").agg(F.first("members").alias("members"))
+    out = stored(sets.groupBy("sig").agg(F.first("members").alias("members")), "ngram-whole")
+    shared.destroy()
+    return out
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -183,9 +195,22 @@ def _passes(x, y, percent: int) -> Column:
     return (x("root") != y("root")) & length & position & suffix
 
 
-def _proposals(postings: DataFrame, percent: int, salt: int) -> DataFrame:
+def _postings(sets: DataFrame, percent: int) -> DataFrame:
+    """sig, size, place, shingle and turn (1 for a set's first posting that stays, and so on)."""
+    listed = sets.select("sig", "size", F.posexplode("prefix").alias("place", "shingle"))
+    order = Window.partitionBy("shingle").orderBy("size", "sig")
+    smaller, larger = F.lag("size").over(order), F.lead("size").over(order)
+    fits = (smaller * 100 >= F.col("size") * percent) | (F.col("size") * 100 >= larger * percent)
+    near = listed.withColumn("fits", fits).where("fits").drop("fits")
+    needed = F.least(F.lit(2), F.ceil(F.col("size") * percent / 100))
+    turn = F.row_number().over(Window.partitionBy("sig").orderBy("place"))
+    held = near.withColumn("n", F.count("*").over(Window.partitionBy("sig"))).withColumn("turn", turn)
+    return held.where(F.col("n") >= needed).drop("n")
+
+
+def _proposals(postings: DataFrame, percent: int, salt: int, most: int) -> DataFrame:
     """(a, b): for each set its closest candidates in other components: of all sets one before it in its lists, two
-    before it, and first of its lists.
+    before it, and first of its lists, `most` in all.
 
     The order inside a size changes with the salt, so that rounds propose different pairs.
     """
@@ -200,33 +225,32 @@ def _proposals(postings: DataFrame, percent: int, salt: int) -> DataFrame:
         distance = _apart(F.col("bits"), other("bits")) / (F.col("size") + other("size"))
         return F.when(_passes(F.col, other, percent), F.struct(distance.alias("apart"), other("sig").alias("other")))
 
-    names = ("prev", "second", "head")
-    best = near.select("sig", *(candidate(n).alias(n) for n in names)).groupBy("sig").agg(*(F.min(n).alias(n) for n in names))
-    proposed = best.select("sig", F.explode(F.array_compact(F.array(*names))).alias("c"))
+    found = near.select("sig", F.explode(F.array_compact(F.array(*map(candidate, ("prev", "second", "head"))))).alias("c"))
+    # A set has three candidates at most for each shingle of its prefix.
+    closest = found.groupBy("sig").agg(F.slice(F.array_sort(F.collect_set("c")), 1, most).alias("closest"))
+    proposed = closest.select("sig", F.explode("closest").alias("c"))
     return proposed.select(F.least("sig", "c.other").alias("a"), F.greatest("sig", "c.other").alias("b")).distinct()
 
 
-def _crossing(postings: DataFrame, percent: int) -> DataFrame:
-    """(a, b): all candidates between different components."""
-    spread = postings.groupBy("shingle").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    held = postings.join(spread.select("shingle"), "shingle", "left_semi")
-    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
-    both = held.alias("x").join(held.alias("y"), (x("shingle") == y("shingle")) & (x("sig") < y("sig")) & _passes(x, y, percent))
-    return both.select(x("sig").alias("a"), y("sig").alias("b")).distinct()
-
+def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
+    """Postings of the lists that hold more than one component, with the component (root) of their set."""
+    named = postings.join(roots.withColumnRenamed("node", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
+    everyone = Window.partitionBy("shingle")
+    spread = named.withColumn("low", F.min("root").over(everyone)).withColumn("high", F.max("root").over(everyone))
+    return spread.where("low <> high").drop("low", "high")
 
-def _hooked(links: DataFrame) -> DataFrame:
-    """node and root: every set's least neighbour or itself, followed once more. Part of a component, at little cost."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("root"))
-    further = least.select(F.col("a").alias("root"), F.col("root").alias("next"))
-    return least.join(further, "root").select(F.col("a").alias("node"), F.col("next").alias("root"))
 
+def _crossing(postings: DataFrame, percent: int) -> DataFrame:
+    """(a, b): all candidates between different components; a pair comes from the first list that both sets are in.
 
-def _labelled(postings: DataFrame, roots: DataFrame) -> DataFrame:
-    """Postings with the component of their set."""
-    named = postings.drop("root").join(roots.withColumnRenamed("node", "sig"), "sig", "left")
-    return named.withColumn("root", F.coalesce("root", "sig"))
+    Where more than KNOWN_LISTS lists of a set lie between two that a pair shares, the pair comes twice.
+    """
+    before = Window.partitionBy("sig").orderBy("place").rowsBetween(-KNOWN_LISTS, -1)
+    held = postings.withColumn("known", F.collect_list("shingle").over(before))
+    x, y = (lambda c: F.col(f"x.{c}")), (lambda c: F.col(f"y.{c}"))
+    first = ~F.arrays_overlap(x("known"), y("known"))
+    on = (x("shingle") == y("shingle")) & (x("sig") < y("sig")) & _passes(x, y, percent) & first
+    return held.alias("x").join(held.alias("y"), on).select(x("sig").alias("a"), y("sig").alias("b")).distinct()
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 4, percent: int = 85) -> DataFrame:
@@ -235,32 +259,41 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     Null and empty texts have 0 shingles and are linked with nothing. Rows with equal sets are linked. A row with
     a null id takes part; a component of null ids alone has a null component_id.
     """
-    rows = stored(_prefixes(docs, id_col, text_col, n, percent), "ngram-rows")
+    rows = _prefixes(docs, id_col, text_col, n, percent)
     sets = stored(
         rows.where("size > 0").groupBy("sig", "size").agg(F.min("id").alias("least"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
         "ngram-sets",
     )
-    listed = sets.select("sig", "size", F.posexplode("prefix").alias("place", "shingle"))
-    order = Window.partitionBy("shingle").orderBy("size", "sig")
-    linked_list = F.lag("sig").over(order).isNotNull() | F.lead("sig").over(order).isNotNull()
-    shared = listed.withColumn("shared", linked_list).where("shared").drop("shared")
-    postings = stored(shared.join(sets.select("sig", "bits", F.col("sig").alias("root")), "sig"), "ngram-postings")
-    done = links = None
-    todo = postings
-    for k in range(LINEAR_ROUNDS + 1):
-        pairs = _proposals(todo, percent, k) if k < LINEAR_ROUNDS else _crossing(todo, percent)
+    postings = stored(_postings(sets, percent), "ngram-postings")
+    alike = sets.join(postings.select("sig").distinct(), "sig", "left_semi")
+    bits = stored(alike.select("sig", "least", "bits"), "ngram-bits")
+    whole = _whole_sets(docs, id_col, text_col, n, bits.select("sig", "least"))
+    mine = F.col("sig").alias("root")
+    todo = postings.where(F.col("turn") <= FIRST_POSTINGS).select("*", mine)
+    done = roots = None
+    for k in range(PROPOSAL_ROUNDS + 1):
+        told = todo.join(bits.select("sig", "bits"), "sig")
+        last = k == PROPOSAL_ROUNDS or (k > 1 and not found)
+        pairs = _crossing(told, percent) if last else _proposals(told, percent, k, CANDIDATES if k else 1)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = stored(pairs.select("a", "b"), "ngram-pairs")
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("sig")).distinct()
-        whole = stored(_whole_sets(docs, id_col, text_col, n, sets.select("sig", "least").join(ends, "sig")), "ngram-whole")
-        checked = stored(_verify(pairs, whole, percent), "ngram-checked")
+        checked = stored(_verify(stored(pairs.select("a", "b"), "ngram-pairs"), whole, percent), "ngram-checked")
         done = checked if done is None else done.unionByName(checked)
-        links = done.where("linked").select("a", "b")
-        if k < LINEAR_ROUNDS:
-            roots = _hooked(links) if k == 0 else components(links, "a", "b")
-            todo = stored(_labelled(postings, roots), "ngram-open")
-    roots = components(links, "a", "b").withColumnRenamed("node", "sig")
+        links = checked.where("linked").select("a", "b")
+        found = not links.isEmpty()
+        if found:
+            # A component so far counts as the star of its root.
+            stars = links if roots is None else links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+            roots = stored(components(stars, "a", "b"), "ngram-roots")
+        if last:
+            break
+        if roots is not None:
+            todo = stored(_open(postings, roots), "ngram-open")
+        else:
+            todo = postings.select("*", mine)
+    if roots is None:
+        roots = bits.select(F.col("sig").alias("node"), F.col("sig").alias("root"))
+    roots = roots.withColumnRenamed("node", "sig")
     named = sets.select("sig", "least").join(roots, "sig", "left").withColumn("root", F.coalesce("root", "sig"))
     least = named.groupBy("root").agg(F.min("least").alias("component_id"))
     by_set = named.select("sig", "root").join(least, "root").select("sig", "component_id")

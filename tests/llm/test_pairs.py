@@ -57,6 +57,21 @@ def test_ngram_join(make_docs, corpus, n, percent):
     assert sorted(tuple(r) for r in got) == brute_components(corpus, n, percent)
 
 
+def test_ngram_join_of_short_sets(make_docs):
+    """At 50 % sets of one and two words link by a single shared word."""
+    rng = random.Random(8)
+    rows = [(k, " ".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randrange(1, 6)))) for k in range(60)]
+    assert sorted(tuple(r) for r in ngram_join.join(make_docs(rows), n=1, percent=50).collect()) == brute_components(rows, 1, 50)
+
+
+def test_ngram_join_of_a_group_at_the_limit(make_docs):
+    """Copies of one text of which about half of all pairs link: rounds merge them, and what remains is verified."""
+    rng = random.Random(9)
+    base = sentences(rng, 120, 100_000)
+    rows = [(k, near(rng, base, 0.02)) for k in range(150)]
+    assert sorted(tuple(r) for r in ngram_join.join(make_docs(rows)).collect()) == brute_components(rows, 4, 85)
+
+
 def test_ngram_join_odd(odd, empty):
     got = ngram_join.join(odd).collect()
     assert len(got) == odd.count()
