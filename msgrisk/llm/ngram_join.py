@@ -14,7 +14,8 @@ A text is the set of its distinct `n`-word shingles. Two texts link if 100 * |A
 4. Not all pairs of a group are looked at. Each round, every set proposes candidates outside its component, those
    that the parts put closest among its neighbours in the order of each posting list and the list's first set. The
    first round takes few postings of a set and its closest candidate, which merges most copies; later rounds take the
-   lists that hold more than one component, and end when a round links nothing. Then all remaining pairs between
+   lists that hold more than one component, without those of three sets at most of which no two pass the filters, and
+   end when a round links nothing or after PROPOSAL_ROUNDS. Then all remaining pairs between
    different components are verified, each emitted at the first list that both are in; pairs inside a component
    cannot change it.
 """
@@ -39,7 +40,7 @@ NEEDED_BITS = 22
 # Rounds of proposals: postings a set takes in the first, candidates it proposes in the later ones, and the most of them.
 FIRST_POSTINGS = 4
 CANDIDATES = 8
-PROPOSAL_ROUNDS = 8
+PROPOSAL_ROUNDS = 5
 # Earlier lists of a set that a posting knows in the last step; more only save repeated rows.
 KNOWN_LISTS = 32
 _STEP = 0xD1B54A32D192ED03 | 1
@@ -240,6 +241,18 @@ def _open(postings: DataFrame, roots: DataFrame) -> DataFrame:
     return spread.where("low <> high").drop("low", "high")
 
 
+def _live(postings: DataFrame, percent: int) -> DataFrame:
+    """Postings without the lists of two or three sets of which no two in different components pass the filters."""
+    order, everyone = Window.partitionBy("shingle").orderBy("size", "sig"), Window.partitionBy("shingle")
+    me = F.struct("sig", "root", "size", "place", "bits")
+    near = postings.withColumn("prev", F.lag(me, 1).over(order)).withColumn("second", F.lag(me, 2).over(order))
+    other = lambda name: lambda c: F.col(f"{name}.{c}")
+    passes = reduce(Column.__or__, (F.coalesce(_passes(F.col, other(n), percent), F.lit(False)) for n in ("prev", "second")))
+    told = near.select("*", passes.alias("passes"), F.count("*").over(everyone).alias("n"))
+    told = told.withColumn("passes", F.max("passes").over(everyone))
+    return told.where("n > 3 or passes").drop("prev", "second", "passes", "n")
+
+
 def _crossing(postings: DataFrame, percent: int) -> DataFrame:
     """(a, b): all candidates between different components; a pair comes from the first list that both sets are in.
 
@@ -273,6 +286,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     done = roots = None
     for k in range(PROPOSAL_ROUNDS + 1):
         told = todo.join(bits.select("sig", "bits"), "sig")
+        if k == 1:
+            postings = stored(_live(told, percent).drop("root", "bits"), "ngram-postings")
+            told = postings.join(todo.select("sig", "root").distinct(), "sig").join(bits.select("sig", "bits"), "sig")
         last = k == PROPOSAL_ROUNDS or (k > 1 and not found)
         pairs = _crossing(told, percent) if last else _proposals(told, percent, k, CANDIDATES if k else 1)
         if done is not None:
