@@ -1,9 +1,10 @@
 """Exact all-pairs work, block against block.
 
 Distances between all rows are quadratic by nature. Rows are hashed into blocks of bounded size and
-every pair of blocks is one task, keyed by the pair and reached by an ordinary shuffle, so no task
-ever holds more than two blocks. A task multiplies its two blocks as matrices and emits sums per row,
-never a pair of rows.
+every pair of blocks is one group, keyed by the pair and reached by an ordinary shuffle, so no task
+ever holds more than two blocks. Blocks grow with the table up to BLOCK_NUMBERS numbers, so that up to there the
+rows sent grow no faster than the table. A task multiplies its two blocks as matrices, tile by tile, and emits
+sums per row, never a pair of rows.
 """
 
 from __future__ import annotations
@@ -16,8 +17,12 @@ import pandas as pd
 from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, functions as F
 
-# Rows of one block. A task holds two blocks and their distance matrix (32 MB).
+# Rows of the smallest blocks, and of a tile. The distances of two tiles (2 MB) stay in a core's cache.
 BLOCK_ROWS = 2048
+TILE_ROWS = 512
+# Blocks of a table, unless they would hold more numbers than this as dense rows (32 MB) or fewer than BLOCK_ROWS.
+BLOCKS = 16
+BLOCK_NUMBERS = 4 * 1024 * 1024
 # Distances are compared to this many digits, so that ties between copies go by id.
 DIGITS = 9
 # Share of the squared norms below which a squared distance is computed by differences.
@@ -65,31 +70,42 @@ def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squared, 0.0, out=squared), out=squared)
 
 
+def _block_rows(n_rows: int, width: int) -> int:
+    """Rows of a block: a share of the table, within what a task can hold."""
+    return max(BLOCK_ROWS, min(math.ceil(n_rows / BLOCKS), BLOCK_NUMBERS // max(width, 1)))
+
+
 def _block_count(n_rows: int, block_rows: int, cores: int) -> int:
     """Enough blocks to keep each below about block_rows, and to use all cores on small inputs."""
     spread = min(math.ceil(math.sqrt(2 * cores)), math.ceil(n_rows / 64))
     return max(math.ceil(n_rows / block_rows), spread, 1)
 
 
+def _tiles(rows: pd.DataFrame, width: int) -> list[tuple[pd.DataFrame, np.ndarray]]:
+    parts = [rows.iloc[i:i + TILE_ROWS] for i in range(0, max(len(rows), 1), TILE_ROWS)]
+    return [(part, matrix(part, width)) for part in parts]
+
+
 def per_block_pair(
     df: DataFrame,
     key: str,
     vector: str,
     carried: Sequence[str],
-    combine: Callable[[np.ndarray, pd.DataFrame, pd.DataFrame, bool], pd.DataFrame],
+    sums: Callable[[np.ndarray, pd.DataFrame], np.ndarray],
+    shown: Callable[[pd.DataFrame, np.ndarray], pd.DataFrame],
     schema: str,
     sizes: dict[int | None, int],
     group: str | None = None,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
-    """Run combine(distances, rows, others, same_block) for every ordered pair of blocks.
+    """Add up sums(distances, others) over the tiles of another block, for every ordered pair of blocks.
 
-    With a group column only blocks of the same group meet. sizes has the rows of each group (of
-    None without one); there is an entry per class, so it is small.
+    shown(rows, added) gives the lines of the rows of one tile. With a group column only blocks of the same group
+    meet. sizes has the rows of each group (of None without one); there is an entry per class, so it is small.
     """
     width = width_of(df, vector)
     cores = df.sparkSession.sparkContext.defaultParallelism
-    blocks = {g: _block_count(n, block_rows, cores) for g, n in sizes.items()}
+    blocks = {g: _block_count(n, block_rows or _block_rows(n, width), cores) for g, n in sizes.items()}
     if group is None:
         placed, n_blocks = df.withColumn("_group", F.lit(0)), F.lit(blocks[None])
     else:
@@ -105,23 +121,33 @@ def per_block_pair(
 
     def both(pair: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         _, low, high = pair
-        first = rows[rows["_block"] == low]
-        a = matrix(first, width)
-        if low == high:
-            found = distances(a, a)
-            np.fill_diagonal(found, 0.0)
-            return combine(found, first, first, True)
-        second = rows[rows["_block"] == high]
-        found = distances(a, matrix(second, width))
-        return pd.concat([
-            combine(found, first, second, False), combine(found.T, second, first, False)
-        ])
-
-    return copies.groupBy("_group", "_low", "_high").applyInPandas(both, schema)
+        first = _tiles(rows[rows["_block"] == low], width)
+        second = first if low == high else _tiles(rows[rows["_block"] == high], width)
+        added: dict[tuple[int, int], np.ndarray] = {}
+
+        def add(side: int, i: int, part: np.ndarray) -> None:
+            added[side, i] = added[side, i] + part if (side, i) in added else part
+
+        for i, (a_rows, a) in enumerate(first):
+            for j, (b_rows, b) in enumerate(second):
+                if low == high and j < i:
+                    continue
+                found, itself = distances(a, b), low == high and i == j
+                if itself:
+                    np.fill_diagonal(found, 0.0)
+                add(0, i, sums(found, b_rows))
+                if not itself:
+                    add(int(low != high), j, sums(found.T, a_rows))
+        return pd.concat([shown((second if side else first)[i][0], total) for (side, i), total in added.items()])
+
+    # Few bytes make much work here, so partitions are not left to their sizes.
+    pairs = ("_group", "_low", "_high")
+    n_pairs = sum(n * (n + 1) // 2 for n in blocks.values())
+    return copies.repartition(min(max(n_pairs, 1), 32 * cores), *pairs).groupBy(*pairs).applyInPandas(both, schema)
 
 
 def silhouettes(
-    df: DataFrame, key: str, vector: str, clusterings: Sequence[str], block_rows: int = BLOCK_ROWS
+    df: DataFrame, key: str, vector: str, clusterings: Sequence[str], block_rows: int | None = None
 ) -> DataFrame:
     """(clustering, silhouette): mean Euclidean silhouette of each clustering column.
 
@@ -140,9 +166,11 @@ def silhouettes(
     of = np.array([s[0] for s in slots], np.int32)
     cluster = np.array([s[1] for s in slots], np.int32)
 
-    def sums(distances, rows, others, same):
+    def sums(distances, others):
         theirs = others[list(clusterings)].to_numpy()
-        total = distances @ (theirs[:, of] == cluster[None, :]).astype(float)
+        return distances @ (theirs[:, of] == cluster[None, :]).astype(float)
+
+    def shown(rows, total):
         mine = rows[list(clusterings)].to_numpy()[:, of] == cluster[None, :]
         return pd.DataFrame({
             key: np.repeat(rows[key].to_numpy(), len(of)),
@@ -154,7 +182,7 @@ def silhouettes(
     kind = df.schema[key].dataType.simpleString()
     typed = df.select(key, vector, *[F.col(c).cast("int").alias(c) for c in clusterings])
     partial = per_block_pair(
-        typed, key, vector, clusterings, sums, f"{key} {kind}, slot int, own boolean, total double",
+        typed, key, vector, clusterings, sums, shown, f"{key} {kind}, slot int, own boolean, total double",
         {None: n_rows}, None, block_rows,
     )
     spark = df.sparkSession

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from msgrisk.functions import scoring
 from msgrisk.operators import clustering as cl, imbalance, metrics, projection, sampling
 from msgrisk.operators.neighbours import nearest_neighbours
+from msgrisk.operators import pairwise
 from msgrisk.operators.pairwise import silhouettes
 
 RNG = np.random.default_rng(1)
@@ -99,6 +100,26 @@ def test_silhouettes_against_brute_force(points, block_rows):
     assert got["c"] == pytest.approx(brute_silhouette(C)) and got["d"] == pytest.approx(brute_silhouette(alone))
 
 
+def test_blocks_grow_with_the_table(spark):
+    for n in (60_000, 600_000):
+        assert pairwise._block_count(n, pairwise._block_rows(n, 64), 8) == 16
+    # Wide rows stay in small blocks, and beyond 32 MB narrow ones get more blocks.
+    assert pairwise._block_rows(600_000, 5010) == pairwise.BLOCK_ROWS
+    assert pairwise._block_count(3_000_000, pairwise._block_rows(3_000_000, 64), 8) == 46
+    # Four blocks of two tiles.
+    n, rng = 3000, np.random.default_rng(5)
+    x, c = np.round(rng.normal(size=(n, 3)), 6), rng.integers(0, 3, n)
+    df = spark.createDataFrame([(i, a, int(b)) for i, (a, b) in enumerate(zip(x.tolist(), c))], "id bigint, x array<double>, c int")
+    total = np.concatenate([
+        np.sqrt(((part[:, None] - x[None]) ** 2).sum(2)) @ np.eye(3)[c] for part in np.array_split(x, 10)
+    ])
+    sizes = np.bincount(c)
+    a = total[np.arange(n), c] / (sizes[c] - 1)
+    b = np.where(np.eye(3)[c] > 0, np.inf, total / sizes).min(1)
+    got = silhouettes(df, "id", "x", ["c"]).first().silhouette
+    assert got == pytest.approx(np.mean((b - a) / np.maximum(a, b)))
+
+
 def test_quality(points):
     spread = cl.dispersion(points, "c", "x")
     means = np.array([X[C == c].mean(0) for c in range(3)])
