@@ -41,6 +41,13 @@ def packed(df: DataFrame, vector: str) -> DataFrame:
     return df.withColumns({"_at": at, "_x": x}).drop(vector)
 
 
+def _halved(df: DataFrame) -> DataFrame:
+    """Move the values of rows that single precision holds exactly from _x to _single, so that they travel in half the bytes."""
+    exact = F.forall("_x", lambda v: v.cast("float").cast("double") == v)
+    single = df.withColumn("_single", F.when(exact, F.col("_x").cast("array<float>")))
+    return single.withColumn("_x", F.when(F.col("_single").isNull(), F.col("_x")))
+
+
 def width_of(df: DataFrame, vector: str) -> int:
     if isinstance(df.schema[vector].dataType, VectorUDT):
         inner = F.unwrap_udt(vector)
@@ -53,7 +60,8 @@ def width_of(df: DataFrame, vector: str) -> int:
 
 def matrix(rows: pd.DataFrame, width: int) -> np.ndarray:
     out = np.zeros((len(rows), width))
-    for i, (at, x) in enumerate(zip(rows["_at"], rows["_x"])):
+    values = rows["_x"] if "_single" not in rows else (s if x is None else x for x, s in zip(rows["_x"], rows["_single"]))
+    for i, (at, x) in enumerate(zip(rows["_at"], values)):
         out[i, slice(None) if at is None else at] = x
     return out
 
@@ -112,7 +120,7 @@ def per_block_pair(
         known = F.create_map(*[F.lit(v) for pair in blocks.items() for v in pair])
         placed, n_blocks = df.withColumn("_group", F.col(group)), F.element_at(known, F.col(group))
     placed = placed.withColumn("_blocks", n_blocks)
-    placed = packed(placed.select(key, vector, "_group", "_blocks", *carried), vector).withColumn(
+    placed = _halved(packed(placed.select(key, vector, "_group", "_blocks", *carried), vector)).withColumn(
         "_block", F.pmod(F.xxhash64(key), F.col("_blocks")).cast("int")
     )
     copies = placed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1))).withColumns(
@@ -171,28 +179,25 @@ def silhouettes(
         return distances @ (theirs[:, of] == cluster[None, :]).astype(float)
 
     def shown(rows, total):
-        mine = rows[list(clusterings)].to_numpy()[:, of] == cluster[None, :]
-        return pd.DataFrame({
-            key: np.repeat(rows[key].to_numpy(), len(of)),
-            "slot": np.tile(np.arange(len(of), dtype=np.int32), len(rows)),
-            "own": mine.ravel(),
-            "total": total.ravel(),
-        })
+        return pd.DataFrame({key: rows[key].to_numpy(), "given": list(rows[list(clusterings)].to_numpy()), "totals": list(total)})
 
     kind = df.schema[key].dataType.simpleString()
     typed = df.select(key, vector, *[F.col(c).cast("int").alias(c) for c in clusterings])
     partial = per_block_pair(
-        typed, key, vector, clusterings, sums, shown, f"{key} {kind}, slot int, own boolean, total double",
+        typed, key, vector, clusterings, sums, shown, f"{key} {kind}, given array<int>, totals array<double>",
         {None: n_rows}, None, block_rows,
     )
     spark = df.sparkSession
     slot_table = spark.createDataFrame(
-        [(i, clusterings[s[0]], s[2]) for i, s in enumerate(slots)], "slot int, clustering string, n bigint"
+        [(i, s[0], clusterings[s[0]], s[1], s[2]) for i, s in enumerate(slots)],
+        "slot int, place int, clustering string, cluster int, n bigint",
     )
+    # A row is one line per block it meets up to its key's task; its clusters come apart there.
+    lines = partial.repartition(F.col(key)).select(key, "given", F.posexplode("totals").alias("slot", "total"))
+    marked = lines.join(F.broadcast(slot_table), "slot").withColumn("own", F.get("given", F.col("place")) == F.col("cluster"))
     own_mean = F.when(F.col("own"), F.col("total") / F.nullif(F.col("n") - 1, F.lit(0)))
     per_row = (
-        partial.groupBy(key, "slot", "own").agg(F.sum("total").alias("total"))
-        .join(F.broadcast(slot_table), "slot")
+        marked.groupBy(key, "clustering", "slot", "own", "n").agg(F.sum("total").alias("total"))
         .groupBy("clustering", key)
         .agg(F.max(own_mean).alias("a"), F.min(F.when(~F.col("own"), F.col("total") / F.col("n"))).alias("b"))
     )

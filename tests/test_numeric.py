@@ -218,3 +218,27 @@ def test_mean_term_weights(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning") == 1
     assert sorted(tuple(r) for r in found.collect()) == [(0, "a", 2.0), (0, "c", 1.5), (2, "b", 5.0)]
+
+
+def test_rows_travel_once_per_block_and_in_few_bytes(spark, monkeypatch):
+    n, whole, seen = 64, pairwise.per_block_pair, []
+
+    def watched(*args):
+        seen.append(whole(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(pairwise, "per_block_pair", watched)
+    x = np.random.default_rng(6).normal(size=(n, 4))
+    x[::2] = x[::2].astype(np.float32)
+    c = np.arange(n) % 5
+    df = spark.createDataFrame([(i, a, int(b)) for i, (a, b) in enumerate(zip(x.tolist(), c))], "id bigint, x array<double>, c int")
+    got = silhouettes(df, "id", "x", ["c"], 16).first().silhouette
+    # Four blocks meet each row, whatever the number of clusters.
+    assert seen[0].count() == 4 * n
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)) @ np.eye(5)[c]
+    sizes = np.bincount(c)
+    a, b = d[np.arange(n), c] / (sizes[c] - 1), np.where(np.eye(5)[c] > 0, np.inf, d / sizes).min(1)
+    assert got == pytest.approx(np.mean((b - a) / np.maximum(a, b)), abs=1e-14)
+    rows = pairwise._halved(pairwise.packed(df, "x")).orderBy("id").toPandas()
+    assert rows["_single"].notna().tolist() == [i % 2 == 0 for i in range(n)] and (rows["_x"].isna() == rows["_single"].notna()).all()
+    assert (pairwise.matrix(rows, 4) == x).all()
