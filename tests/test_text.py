@@ -1,7 +1,11 @@
+import re
+import unicodedata
+
 import pytest
 from pyspark.sql import functions as F
 
 from msgrisk.constants import MANUAL_FEATURES
+from msgrisk.functions import text
 from msgrisk.functions.text import capital_ratio, normalized, preprocess, safe_text, truncated
 
 MESSAGES = {
@@ -102,3 +106,24 @@ def test_truncated(spark):
 def test_missing_column(spark):
     with pytest.raises(KeyError):
         preprocess(spark.range(1))
+
+
+def test_cheap_looks_come_before_costly_steps(spark):
+    """Words are not cut out to be counted, and odd characters give what the plain definitions give."""
+    texts = ["", " ", "　a b \x1c", "AÀ", "ÀÉ", "Àé a", "à́", "é̀́̂", "×× a", "otp OTPotp free", "trúng thưởng",
+             "ſ.id x", "S.ID", "T.CO/x", "+84 912 345 678", "84912345678", "x0912345678", "nothing"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    got = {r.i: r for r in text.message_features(df).collect()}
+    for i, t in enumerate(texts):
+        capitals = sum("A" <= c <= "Z" or "À" <= c <= "Ỹ" for c in t)
+        letters = sum(unicodedata.category(c)[0] == "L" for c in t)
+        assert got[i].capslock_ratio == (capitals // letters if letters else 0), t
+        assert got[i].msg_length == len(re.split(f"[{SPACES}]+", t.strip(SPACES))) - (not t.strip(SPACES)), t
+    assert [got[i].fraud_keyword_count for i in (9, 10, 17)] == [4, 1, 0]
+    assert [got[i].has_shorturl for i in range(11, 14)] == [1, 1, 1]
+    assert [got[i].has_phone for i in range(14, 17)] == [0, 1, 1]
+    plan = text.message_features(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "(?=[+80])" in plan and "(?=[bgst])" in plan
+
+
+SPACES = "\t\n\x0b\x0c\r \x85\xa0     　\x1c\x1d\x1e\x1f" + "".join(map(chr, range(0x2000, 0x200b)))
