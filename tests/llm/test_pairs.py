@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from msgrisk.llm import line_dedup, ngram_join, suffix_dedup, topk_search
@@ -216,3 +217,23 @@ def test_search_of_a_word_repeated_very_often(make_docs):
 def test_search_odd(odd, empty):
     assert topk_search.search(odd, odd).where("query_id = 5").count() == 3  # 5, 6 and the repeated 6
     assert topk_search.search(empty, empty).count() == 0
+
+
+def test_search_prunes_by_the_best_of_earlier_shards():
+    texts = pa.array([f"a b {'c ' * (i % 7)}d{i}" for i in range(200)])
+    lengths, code, row, count = topk_search._postings(texts)
+    first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]])
+    ends = np.r_[first[1:], len(code)].astype(np.int32)
+    arrays = {"ids": np.arange(200), "lengths": lengths.astype(np.int32), "terms": code[first], "ends": ends,
+              "rows": row.astype(np.uint16), "counts": count.astype(np.uint8)}
+    shard = topk_search._Shard({name: a.tobytes() for name, a in arrays.items()}, float(lengths.mean()))
+    at = np.array([np.flatnonzero(shard.ends - shard.starts > 180)[0], np.flatnonzero(shard.ends - shard.starts == 1)[0]])
+    of, weight = np.array([0, 1]), np.array([1.0, 2.0])
+    query, rows, score = shard.open_rows(of, at, weight, np.zeros(2), 3)
+    best = topk_search._Best(2, 3)
+    best.add(0, 2, query, shard.ids[rows], score)
+    impact = shard.impact[shard.starts[at[0]]:shard.ends[at[0]]]
+    assert best.score[0].tolist() == np.round(np.sort(impact)[::-1][:3], topk_search.DIGITS).tolist()
+    assert best.score[1].tolist()[1:] == [0, 0]
+    # Nothing of a shard is looked at again once no row of it can reach the third best.
+    assert not len(shard.open_rows(of, at, weight, np.array([99.0, 99.0]), 3)[0])
