@@ -125,9 +125,10 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
 
 
 def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame) -> DataFrame:
-    """sig and set (48 bits of each hash, sorted) of the needed sets (sig, least id of a row that has it).
+    """sig and set (48 bits of each hash, sorted) of the needed sets (sig, least id of a row that has it, copies: rows).
 
-    A bitmap of ids of fixed size keeps most other rows from being read word by word; the join decides.
+    A bitmap of ids of fixed size keeps most other rows from being read word by word; the join decides. Only sets of
+    several rows are shuffled to be taken once.
     """
     mask = (1 << NEEDED_BITS) - 1
     mark = F.xxhash64(F.col("least").cast("string")).bitwiseAND(mask).cast("int")
@@ -151,10 +152,10 @@ def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: Dat
                 yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(packed, pa.binary())], ["sig", "members"])
 
     rows = docs.select(F.xxhash64(F.col(id_col).cast("string")).bitwiseAND(mask).cast("int").alias("mark"), F.col(text_col).alias("text"))
-    sets = rows.mapInArrow(run, "sig bigint, members binary").join(needed.select("sig"), "sig", "left_semi")
-    out = stored(sets.groupBy("sig").agg(F.first("members").alias("members")), "ngram-whole")
+    found = stored(rows.mapInArrow(run, "sig bigint, members binary").join(needed.select("sig", "copies"), "sig"), "ngram-whole")
     shared.destroy()
-    return out
+    again = stored(found.where("copies > 1").groupBy("sig").agg(F.first("members").alias("members")), "ngram-whole")
+    return found.where("copies = 1").select("sig", "members").unionByName(again)
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -163,9 +164,10 @@ def _unpack(data: bytes) -> np.ndarray:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b and linked of every pair, from whole sets."""
+    """a, b and linked of every pair, from whole sets. Sets of no pair are left out before any shuffle, if pairs are few."""
     first = pairs.select("a", "b").join(sets.select(F.col("sig").alias("a"), F.col("members").alias("set_a")), "a")
-    both = first.join(sets.select(F.col("sig").alias("b"), F.col("members").alias("set_b")), "b")
+    second = sets.join(pairs.select(F.col("b").alias("sig")), "sig", "left_semi")
+    both = first.join(second.select(F.col("sig").alias("b"), F.col("members").alias("set_b")), "b")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -273,14 +275,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     a null id takes part; a component of null ids alone has a null component_id.
     """
     rows = _prefixes(docs, id_col, text_col, n, percent)
-    sets = stored(
-        rows.where("size > 0").groupBy("sig", "size").agg(F.min("id").alias("least"), F.first("prefix").alias("prefix"), F.first("bits").alias("bits")),
-        "ngram-sets",
-    )
-    postings = stored(_postings(sets, percent), "ngram-postings")
+    filled = rows.where("size > 0").groupBy("sig", "size")
+    sets = stored(filled.agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.count("*").alias("copies")), "ngram-sets")
+    # Prefixes, most of what there is, are not written a second time.
+    postings = stored(_postings(filled.agg(F.first("prefix").alias("prefix")), percent), "ngram-postings")
     alike = sets.join(postings.select("sig").distinct(), "sig", "left_semi")
-    bits = stored(alike.select("sig", "least", "bits"), "ngram-bits")
-    whole = _whole_sets(docs, id_col, text_col, n, bits.select("sig", "least"))
+    bits = stored(alike.select("sig", "least", "copies", "bits"), "ngram-bits")
+    whole = _whole_sets(docs, id_col, text_col, n, bits.select("sig", "least", "copies"))
     mine = F.col("sig").alias("root")
     todo = postings.where(F.col("turn") <= FIRST_POSTINGS).select("*", mine)
     done = roots = None

@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from msgrisk.llm import line_dedup, ngram_join, suffix_dedup, topk_search
 
@@ -237,3 +238,16 @@ def test_search_prunes_by_the_best_of_earlier_shards():
     assert best.score[1].tolist()[1:] == [0, 0]
     # Nothing of a shard is looked at again once no row of it can reach the third best.
     assert not len(shard.open_rows(of, at, weight, np.array([99.0, 99.0]), 3)[0])
+
+
+def test_whole_sets_are_shuffled_only_where_a_pair_needs_them(spark, make_docs):
+    docs = make_docs([(1, "a b c d e"), (1, "a b c d e"), (2, "a b c d e"), (3, "f g h i j"), (None, "k l m n o")])
+    rows = ngram_join._prefixes(docs, "doc_id", "text", 4, 85)
+    needed = rows.groupBy("sig").agg(F.min("id").alias("least"), F.count("*").alias("copies"))
+    whole = ngram_join._whole_sets(docs, "doc_id", "text", 4, needed)
+    assert sorted(len(r.members) for r in whole.collect()) == [12, 12, 12]
+    a, b, c = sorted(r.sig for r in needed.collect())
+    pairs = spark.createDataFrame([(a, b), (a, a)], "a bigint, b bigint")
+    checked = ngram_join._verify(pairs, whole, 85)
+    assert sorted(map(tuple, checked.collect())) == sorted([(a, a, True), (a, b, False)])
+    assert "LeftSemi" in checked._jdf.queryExecution().optimizedPlan().toString()
