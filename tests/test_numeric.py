@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from msgrisk.functions import scoring
 from msgrisk.operators import clustering as cl, imbalance, metrics, projection, sampling
+from msgrisk.operators import neighbours
 from msgrisk.operators.neighbours import nearest_neighbours
 from msgrisk.operators import pairwise
 from msgrisk.operators.pairwise import silhouettes
@@ -67,6 +68,27 @@ def test_neighbours_below_all_pairs(spark):
     assert 0 < count.value < len(x) ** 2 / 10
 
 
+def test_neighbours_travel_to_blocks_not_buckets(spark, monkeypatch):
+    """Where no bound helps, points visit nearly all buckets but are sent to few blocks, and nothing is missed."""
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(1200, 24))
+    stored = {}
+
+    def keep(df, name, inner=neighbours.materialised):
+        return stored.setdefault(name, inner(df, name))
+
+    monkeypatch.setattr(neighbours, "materialised", keep)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id bigint, x array<double>")
+    got = {(r.id, r.nn_rank): r.nn_id for r in nearest_neighbours(df, "id", "x", 3, block_rows=100).collect()}
+    away = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 9)
+    np.fill_diagonal(away, np.inf)
+    for at in range(len(x)):
+        assert [got[at, r] for r in (1, 2, 3)] == np.lexsort((np.arange(len(x)), away[at]))[:3].tolist()
+    buckets = stored["buckets"].select("bucket").distinct().count()
+    sent, = stored["first-round"].selectExpr("max(size(blocks))").first()
+    assert buckets > 24 and sent <= 13
+
+
 def test_neighbours_of_copies_alone(spark):
     df = spark.createDataFrame([(i, 0 if i < 5 else 1, [1.0, 2.0] if i < 5 else [float(i), 0.0]) for i in range(9)], "id bigint, c int, x array<double>")
     got = sorted((r.id, r.nn_rank, r.nn_id, round(r.distance, 6)) for r in nearest_neighbours(df, "id", "x", 3, group="c").collect())
