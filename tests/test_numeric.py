@@ -69,7 +69,7 @@ def test_neighbours_below_all_pairs(spark):
 
 
 def test_neighbours_travel_to_blocks_not_buckets(spark, monkeypatch):
-    """Where no bound helps, points visit nearly all buckets but are sent to few blocks, and nothing is missed."""
+    """Where no bound helps, points visit nearly all buckets but are sent to few blocks. Rows without a vector hide nothing."""
     rng = np.random.default_rng(6)
     x = rng.normal(size=(1200, 24))
     stored = {}
@@ -78,7 +78,8 @@ def test_neighbours_travel_to_blocks_not_buckets(spark, monkeypatch):
         return stored.setdefault(name, inner(df, name))
 
     monkeypatch.setattr(neighbours, "materialised", keep)
-    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(x)], "id bigint, x array<double>")
+    rows = [(i, r.tolist()) for i, r in enumerate(x)] + [(len(x) + i, None) for i in range(3)]
+    df = spark.createDataFrame(rows, "id bigint, x array<double>")
     got = {(r.id, r.nn_rank): r.nn_id for r in nearest_neighbours(df, "id", "x", 3, block_rows=100).collect()}
     away = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(2)), 9)
     np.fill_diagonal(away, np.inf)
