@@ -9,8 +9,8 @@ A text is the set of its distinct `n`-word shingles. Two texts link if 100 * |A
    smaller or next larger set passes the length filter, a set if enough of its postings stay.
 3. Postings of a shingle stand in order of set size. Pairs pass the length filter (sizes), the positional filter
    (what the places in both prefixes leave to share) and the suffix filter (shingles are parted at fixed hash
-   values; parts with an odd number in one set alone bound the sets' difference), and are then verified once, on
-   whole sets.
+   values; parts with an odd number in one set alone bound the sets' difference), then a suffix filter of finer parts,
+   and are then verified once, on whole sets.
 4. Not all pairs of a group are looked at. Each round, every set proposes candidates outside its component, those
    that the parts put closest among its neighbours in the order of each posting list and the list's first set. The
    first round takes few postings of a set and its closest candidate, which merges most copies; later rounds take the
@@ -26,7 +26,9 @@ from collections.abc import Iterable, Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from msgrisk.llm import sums
@@ -36,6 +38,8 @@ from msgrisk.llm.tokens import Words, hash64, mix, owners, pieces, powers, words
 
 SKETCH_BITS = 20
 PARTS = 512
+# Parts of the second, finer look at a pair.
+FINE_PARTS = 4096
 NEEDED_BITS = 22
 # Rounds of proposals: postings a set takes in the first, candidates it proposes in the later ones, and the most of them.
 FIRST_POSTINGS = 4
@@ -109,8 +113,7 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
             of = owners(starts)
             head = np.arange(len(code)) - starts[:-1][of] < length[of]
             part = (code >> np.uint64(8)) % np.uint64(PARTS)
-            odd = np.bincount(of * PARTS + part.astype(np.int64), minlength=len(size) * PARTS).astype(np.uint8) & 1
-            bits = np.packbits(odd).view(np.int64)
+            bits = _odd_bits(part, of, len(size), PARTS).view(np.int64)
             words_of = np.arange(0, len(bits) + 1, PARTS // 64, dtype=np.int32)
             yield pa.RecordBatch.from_arrays([
                 piece.column("id"), pa.array(_signature(code, starts).view(np.int64)), pa.array(size),
@@ -124,38 +127,84 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
     return out
 
 
-def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame) -> DataFrame:
-    """sig and set (48 bits of each hash, sorted) of the needed sets (sig, least id of a row that has it, copies: rows).
+def _marks(keys: Column) -> Column:
+    """Place of a key in a bitmap of fixed size."""
+    return F.xxhash64(keys.cast("string")).bitwiseAND((1 << NEEDED_BITS) - 1).cast("int")
 
-    A bitmap of ids of fixed size keeps most other rows from being read word by word; the join decides. Only sets of
-    several rows are shuffled to be taken once.
-    """
-    mask = (1 << NEEDED_BITS) - 1
-    mark = F.xxhash64(F.col("least").cast("string")).bitwiseAND(mask).cast("int")
-    marks = needed.select(mark.alias("mark")).distinct().toArrow()["mark"].to_numpy()  # 2 ** NEEDED_BITS at most
+
+def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
+    """The places of all keys, as packed bits."""
+    marks = keys.select(_marks(F.col(column)).alias("mark")).distinct().toArrow()["mark"].to_numpy()  # 2 ** NEEDED_BITS at most
     bitmap = np.zeros(1 << NEEDED_BITS, bool)
     bitmap[marks] = True
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    return np.packbits(bitmap)
+
+
+def _in_bitmap(keys: Column, shared: Broadcast) -> Column:
+    @F.pandas_udf("boolean")
+    def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        bits = np.unpackbits(shared.value).astype(bool)
+        for marks in batches:
+            yield pd.Series(bits[marks.to_numpy()])
+
+    return held(_marks(keys))
+
+
+def _prefix_of_sets(filled: DataFrame, sets: DataFrame) -> DataFrame:
+    """sig, size and prefix of every set once. Only sets that several rows may have are shuffled for that."""
+    shared = filled.sparkSession.sparkContext.broadcast(_bitmap(sets.where("copies > 1"), "sig"))
+    marked = filled.select("sig", "size", "prefix", _in_bitmap(F.col("sig"), shared).alias("several"))
+    again = marked.where("several").groupBy("sig", "size").agg(F.first("prefix").alias("prefix"))
+    return marked.where("not several").drop("several").unionByName(again)
+
+
+def _odd_bits(part: np.ndarray, of: np.ndarray, sets: int, parts: int) -> np.ndarray:
+    """For each set one bit per part: whether it has an odd number of members there."""
+    return np.packbits(np.bincount(of * parts + part.astype(np.int64), minlength=sets * parts).astype(np.uint8) & 1)
+
+
+def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame) -> DataFrame:
+    """sig, set (48 bits of each hash, sorted) and odd (parity of its members in each fine part) of the needed sets
+    (sig, least id of a row that has it, copies: rows), and of few others.
+
+    Bitmaps of fixed size keep most other rows from being read word by word, and say which sets several rows may have;
+    only these are shuffled to be taken once.
+    """
+    several = needed.where("copies > 1")
+    shared = docs.sparkSession.sparkContext.broadcast((_bitmap(needed, "least"), _bitmap(needed, "sig"), _bitmap(several, "sig")))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value).astype(bool)
+        wanted = np.unpackbits(shared.value[0]).astype(bool)
         for batch in batches:
             some = batch.filter(pa.array(wanted[batch.column("mark").to_numpy()]))
             for piece in pieces([some], "text"):
                 code, starts = _sets(words(piece.column("text")), n)
                 sig = _signature(code, starts).view(np.int64)
+                # One text at a time: the counts of all parts of many texts would be large.
+                odd = [_odd_bits((code[x:y] >> np.uint64(8)) % np.uint64(FINE_PARTS), np.zeros(y - x, np.int64), 1, FINE_PARTS).tobytes()
+                       for x, y in zip(starts[:-1], starts[1:])]
                 code = code >> np.uint64(16)
                 packed = [
                     (code[x:y] >> np.uint64(16)).astype(np.uint32).tobytes() + code[x:y].astype(np.uint16).tobytes()
                     for x, y in zip(starts[:-1], starts[1:])
                 ]
-                yield pa.RecordBatch.from_arrays([pa.array(sig), pa.array(packed, pa.binary())], ["sig", "members"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(sig), pa.array(packed, pa.binary()), pa.array(odd, pa.binary())], ["sig", "members", "odd"])
+
+    rows = docs.select(_marks(F.col(id_col)).alias("mark"), F.col(text_col).alias("text"))
+    found = rows.mapInArrow(run, "sig bigint, members binary, odd binary")
+
+    @F.pandas_udf("int")
+    def kind(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        held, twice = (np.unpackbits(x).astype(np.int32) for x in shared.value[1:])
+        for marks in batches:
+            yield pd.Series(held[marks] + twice[marks])
 
-    rows = docs.select(F.xxhash64(F.col(id_col).cast("string")).bitwiseAND(mask).cast("int").alias("mark"), F.col(text_col).alias("text"))
-    found = stored(rows.mapInArrow(run, "sig bigint, members binary").join(needed.select("sig", "copies"), "sig"), "ngram-whole")
+    # 0: not needed, 1: of one row, 2: maybe of several.
+    told = stored(found.withColumn("kind", kind(_marks(F.col("sig")))).where("kind > 0"), "ngram-whole")
     shared.destroy()
-    again = stored(found.where("copies > 1").groupBy("sig").agg(F.first("members").alias("members")), "ngram-whole")
-    return found.where("copies = 1").select("sig", "members").unionByName(again)
+    again = stored(told.where("kind = 2").groupBy("sig").agg(F.first("members").alias("members"), F.first("odd").alias("odd")), "ngram-whole")
+    return told.where("kind = 1").drop("kind").unionByName(again)
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -163,10 +212,31 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.frombuffer(data, np.uint32, n).astype(np.uint64) << np.uint64(16) | np.frombuffer(data, np.uint16, n, 4 * n)
 
 
+def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b and likely of every pair: false if the fine parts alone show that the sets differ too much."""
+    bits = sets.select("sig", F.struct("odd", (F.octet_length("members") / 6).cast("bigint").alias("size")).alias("set"))
+    first = pairs.select("a", "b").join(bits.select(F.col("sig").alias("a"), F.col("set").alias("x")), "a")
+    both = first.join(bits.select(F.col("sig").alias("b"), F.col("set").alias("y")), "b")
+
+    def look(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (odd_x, size_x), (odd_y, size_y) = batch.column("x").flatten(), batch.column("y").flatten()
+            x, y = (np.frombuffer(b"".join(o.to_pylist()), np.uint64).reshape(len(batch), -1) for o in (odd_x, odd_y))
+            apart = np.bitwise_count(x ^ y).sum(1, dtype=np.int64)
+            total = size_x.to_numpy() + size_y.to_numpy()
+            # Linked sets share percent * total / (100 + percent) members at least; the rest makes their difference.
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("a"), batch.column("b"), pa.array(apart * (100 + percent) <= total * (100 - percent))], ["a", "b", "likely"])
+
+    return both.select("a", "b", "x", "y").mapInArrow(look, "a bigint, b bigint, likely boolean")
+
+
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b and linked of every pair, from whole sets. Sets of no pair are left out before any shuffle, if pairs are few."""
-    first = pairs.select("a", "b").join(sets.select(F.col("sig").alias("a"), F.col("members").alias("set_a")), "a")
-    second = sets.join(pairs.select(F.col("b").alias("sig")), "sig", "left_semi")
+    """a, b and linked of every pair, from whole sets if likely. Sets of no pair are left out before any shuffle, if pairs are few."""
+    likely = pairs.where("likely")
+    members = sets.select("sig", "members")
+    first = likely.select("a", "b").join(members.select(F.col("sig").alias("a"), F.col("members").alias("set_a")), "a")
+    second = members.join(likely.select(F.col("b").alias("sig")), "sig", "left_semi")
     both = first.join(second.select(F.col("sig").alias("b"), F.col("members").alias("set_b")), "b")
 
     def check(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -179,7 +249,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 out.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(out, pa.bool_())], ["a", "b", "linked"])
 
-    return both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a bigint, b bigint, linked boolean")
+    checked = both.select("a", "b", "set_a", "set_b").mapInArrow(check, "a bigint, b bigint, linked boolean")
+    return checked.unionByName(pairs.where("not likely").select("a", "b", F.lit(False).alias("linked")))
 
 
 def _apart(x: Column, y: Column) -> Column:
@@ -275,10 +346,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     a null id takes part; a component of null ids alone has a null component_id.
     """
     rows = _prefixes(docs, id_col, text_col, n, percent)
-    filled = rows.where("size > 0").groupBy("sig", "size")
-    sets = stored(filled.agg(F.min("id").alias("least"), F.first("bits").alias("bits"), F.count("*").alias("copies")), "ngram-sets")
+    filled = rows.where("size > 0")
+    named = F.min("id").alias("least"), F.first("bits").alias("bits"), F.count("*").alias("copies")
+    sets = stored(filled.groupBy("sig", "size").agg(*named), "ngram-sets")
     # Prefixes, most of what there is, are not written a second time.
-    postings = stored(_postings(filled.agg(F.first("prefix").alias("prefix")), percent), "ngram-postings")
+    postings = stored(_postings(_prefix_of_sets(filled, sets), percent), "ngram-postings")
     alike = sets.join(postings.select("sig").distinct(), "sig", "left_semi")
     bits = stored(alike.select("sig", "least", "copies", "bits"), "ngram-bits")
     whole = _whole_sets(docs, id_col, text_col, n, bits.select("sig", "least", "copies"))
@@ -294,7 +366,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
         pairs = _crossing(told, percent) if last else _proposals(told, percent, k, CANDIDATES if k else 1)
         if done is not None:
             pairs = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        checked = stored(_verify(stored(pairs.select("a", "b"), "ngram-pairs"), whole, percent), "ngram-checked")
+        checked = stored(_verify(stored(_likely(pairs, whole, percent), "ngram-pairs"), whole, percent), "ngram-checked")
         done = checked if done is None else done.unionByName(checked)
         links = checked.where("linked").select("a", "b")
         found = not links.isEmpty()

@@ -74,6 +74,28 @@ def test_ngram_join_of_a_group_at_the_limit(make_docs):
     assert sorted(tuple(r) for r in ngram_join.join(make_docs(rows)).collect()) == brute_components(rows, 4, 85)
 
 
+def test_ngram_join_shuffles_few_whole_sets(make_docs, corpus, monkeypatch):
+    """Whole sets of one row are not shuffled to be stored, and pairs that the fine parts rule out are not verified."""
+    plans, kept = collections.defaultdict(list), collections.defaultdict(list)
+
+    def keep(df, name, inner=ngram_join.stored):
+        plans[name].append(df._jdf.queryExecution().executedPlan().toString())
+        kept[name].append(inner(df, name))
+        return kept[name][-1]
+
+    monkeypatch.setattr(ngram_join, "stored", keep)
+    rng = random.Random(12)
+    base = sentences(rng, 300, 100_000)
+    rows = corpus + [(400 + k, near(rng, base, 0.07)) for k in range(20)]
+    assert sorted(tuple(r) for r in ngram_join.join(make_docs(rows)).collect()) == brute_components(rows, 4, 85)
+    assert "Exchange" not in plans["ngram-whole"][0]
+    whole = kept["ngram-whole"][0].where("kind = 1").select("sig").unionByName(kept["ngram-whole"][1].select("sig"))
+    assert whole.count() == whole.distinct().count() == kept["ngram-bits"][0].count()
+    pairs, checked = (t[0] if len(t) == 1 else t[0].unionByName(t[1]) for t in (kept["ngram-pairs"][:2], kept["ngram-checked"][:2]))
+    assert checked.count() == pairs.count() and pairs.where("not likely").count() > 0
+    assert pairs.where("not likely").join(checked.where("linked"), ["a", "b"]).count() == 0
+
+
 def test_ngram_join_odd(odd, empty):
     got = ngram_join.join(odd).collect()
     assert len(got) == odd.count()
