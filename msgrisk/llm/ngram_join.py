@@ -41,6 +41,7 @@ PARTS = 512
 # Parts of the second, finer look at a pair.
 FINE_PARTS = 4096
 NEEDED_BITS = 22
+_MASK = (1 << NEEDED_BITS) - 1
 # Rounds of proposals: postings a set takes in the first, candidates it proposes in the later ones, and the most of them.
 FIRST_POSTINGS = 4
 CANDIDATES = 8
@@ -127,33 +128,38 @@ def _prefixes(docs: DataFrame, id_col: str, text_col: str, n: int, percent: int)
     return out
 
 
-def _marks(keys: Column) -> Column:
-    """Place of a key in a bitmap of fixed size."""
-    return F.xxhash64(keys.cast("string")).bitwiseAND((1 << NEEDED_BITS) - 1).cast("int")
+def _id_mark(key: Column) -> Column:
+    """Place of an id in a bitmap of fixed size."""
+    return F.xxhash64(key.cast("string")).bitwiseAND(_MASK).cast("int")
 
 
-def _bitmap(keys: DataFrame, column: str) -> np.ndarray:
+def _sig_mark(sig: Column) -> Column:
+    """Place of a signature, which is a hash, in a bitmap of fixed size."""
+    return sig.bitwiseAND(_MASK).cast("int")
+
+
+def _bitmap(keys: DataFrame, mark: Column) -> np.ndarray:
     """The places of all keys, as packed bits."""
-    marks = keys.select(_marks(F.col(column)).alias("mark")).distinct().toArrow()["mark"].to_numpy()  # 2 ** NEEDED_BITS at most
+    marks = keys.select(mark.alias("mark")).distinct().toArrow()["mark"].to_numpy()  # 2 ** NEEDED_BITS at most
     bitmap = np.zeros(1 << NEEDED_BITS, bool)
     bitmap[marks] = True
     return np.packbits(bitmap)
 
 
-def _in_bitmap(keys: Column, shared: Broadcast) -> Column:
+def _in_bitmap(mark: Column, shared: Broadcast) -> Column:
     @F.pandas_udf("boolean")
     def held(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         bits = np.unpackbits(shared.value).astype(bool)
         for marks in batches:
             yield pd.Series(bits[marks.to_numpy()])
 
-    return held(_marks(keys))
+    return held(mark)
 
 
 def _prefix_of_sets(filled: DataFrame, sets: DataFrame) -> DataFrame:
     """sig, size and prefix of every set once. Only sets that several rows may have are shuffled for that."""
-    shared = filled.sparkSession.sparkContext.broadcast(_bitmap(sets.where("copies > 1"), "sig"))
-    marked = filled.select("sig", "size", "prefix", _in_bitmap(F.col("sig"), shared).alias("several"))
+    shared = filled.sparkSession.sparkContext.broadcast(_bitmap(sets.where("copies > 1"), _sig_mark(F.col("sig"))))
+    marked = filled.select("sig", "size", "prefix", _in_bitmap(_sig_mark(F.col("sig")), shared).alias("several"))
     again = marked.where("several").groupBy("sig", "size").agg(F.first("prefix").alias("prefix"))
     return marked.where("not several").drop("several").unionByName(again)
 
@@ -164,46 +170,40 @@ def _odd_bits(part: np.ndarray, of: np.ndarray, sets: int, parts: int) -> np.nda
 
 
 def _whole_sets(docs: DataFrame, id_col: str, text_col: str, n: int, needed: DataFrame) -> DataFrame:
-    """sig, set (48 bits of each hash, sorted) and odd (parity of its members in each fine part) of the needed sets
-    (sig, least id of a row that has it, copies: rows), and of few others.
+    """sig, members (48 bits of each hash, sorted), odd (parity of the members in each fine part) and size of the needed
+    sets (sig, least id of a row that has it, copies: rows), and of few others.
 
     Bitmaps of fixed size keep most other rows from being read word by word, and say which sets several rows may have;
     only these are shuffled to be taken once.
     """
-    several = needed.where("copies > 1")
-    shared = docs.sparkSession.sparkContext.broadcast((_bitmap(needed, "least"), _bitmap(needed, "sig"), _bitmap(several, "sig")))
+    of_sig = _sig_mark(F.col("sig"))
+    bitmaps = _bitmap(needed, _id_mark(F.col("least"))), _bitmap(needed, of_sig), _bitmap(needed.where("copies > 1"), of_sig)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmaps)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(shared.value[0]).astype(bool)
+        wanted, held, twice = (np.unpackbits(x).view(bool) for x in shared.value)
         for batch in batches:
             some = batch.filter(pa.array(wanted[batch.column("mark").to_numpy()]))
             for piece in pieces([some], "text"):
                 code, starts = _sets(words(piece.column("text")), n)
-                sig = _signature(code, starts).view(np.int64)
-                # One text at a time: the counts of all parts of many texts would be large.
-                odd = [_odd_bits((code[x:y] >> np.uint64(8)) % np.uint64(FINE_PARTS), np.zeros(y - x, np.int64), 1, FINE_PARTS).tobytes()
-                       for x, y in zip(starts[:-1], starts[1:])]
-                code = code >> np.uint64(16)
-                packed = [
-                    (code[x:y] >> np.uint64(16)).astype(np.uint32).tobytes() + code[x:y].astype(np.uint16).tobytes()
-                    for x, y in zip(starts[:-1], starts[1:])
-                ]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(sig), pa.array(packed, pa.binary()), pa.array(odd, pa.binary())], ["sig", "members", "odd"])
-
-    rows = docs.select(_marks(F.col(id_col)).alias("mark"), F.col(text_col).alias("text"))
-    found = rows.mapInArrow(run, "sig bigint, members binary, odd binary")
-
-    @F.pandas_udf("int")
-    def kind(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        held, twice = (np.unpackbits(x).astype(np.int32) for x in shared.value[1:])
-        for marks in batches:
-            yield pd.Series(held[marks] + twice[marks])
-
-    # 0: not needed, 1: of one row, 2: maybe of several.
-    told = stored(found.withColumn("kind", kind(_marks(F.col("sig")))).where("kind > 0"), "ngram-whole")
+                sig = _signature(code, starts)
+                mark = (sig & np.uint64(_MASK)).astype(np.int64)
+                out = []
+                for k in np.flatnonzero(held[mark]).tolist():
+                    one = code[starts[k]:starts[k + 1]]
+                    odd = _odd_bits((one >> np.uint64(8)) % np.uint64(FINE_PARTS), np.zeros(len(one), np.int64), 1, FINE_PARTS)
+                    one = one >> np.uint64(16)
+                    packed = (one >> np.uint64(16)).astype(np.uint32).tobytes() + one.astype(np.uint16).tobytes()
+                    out.append((sig[k:k + 1].view(np.int64)[0], packed, odd.tobytes(), len(one), 1 + int(twice[mark[k]])))
+                kinds = pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32()
+                columns = zip(*out) if out else ((),) * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["sig", "members", "odd", "size", "kind"])
+
+    rows = docs.select(_id_mark(F.col(id_col)).alias("mark"), F.col(text_col).alias("text"))
+    # kind 1: of one row, 2: maybe of several.
+    told = stored(rows.mapInArrow(run, "sig bigint, members binary, odd binary, size bigint, kind int"), "ngram-whole")
     shared.destroy()
-    again = stored(told.where("kind = 2").groupBy("sig").agg(F.first("members").alias("members"), F.first("odd").alias("odd")), "ngram-whole")
+    again = stored(told.where("kind = 2").groupBy("sig").agg(*[F.first(c).alias(c) for c in ("members", "odd", "size")]), "ngram-whole")
     return told.where("kind = 1").drop("kind").unionByName(again)
 
 
@@ -214,7 +214,7 @@ def _unpack(data: bytes) -> np.ndarray:
 
 def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """a, b and likely of every pair: false if the fine parts alone show that the sets differ too much."""
-    bits = sets.select("sig", F.struct("odd", (F.octet_length("members") / 6).cast("bigint").alias("size")).alias("set"))
+    bits = sets.select("sig", F.struct("odd", "size").alias("set"))
     first = pairs.select("a", "b").join(bits.select(F.col("sig").alias("a"), F.col("set").alias("x")), "a")
     both = first.join(bits.select(F.col("sig").alias("b"), F.col("set").alias("y")), "b")
 
