@@ -232,7 +232,10 @@ def _likely(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b and linked of every pair, from whole sets if likely. Sets of no pair are left out before any shuffle, if pairs are few."""
+    """a, b and linked of every pair, from whole sets if likely (all pairs where that is not given). Sets of no pair are left
+    out before any shuffle, if pairs are few."""
+    if "likely" not in pairs.columns:
+        pairs = pairs.withColumn("likely", F.lit(True))
     likely = pairs.where("likely")
     members = sets.select("sig", "members")
     first = likely.select("a", "b").join(members.select(F.col("sig").alias("a"), F.col("members").alias("set_a")), "a")
